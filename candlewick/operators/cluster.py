@@ -16,7 +16,9 @@ from candlewick.operators.dedup import dedup_newest
 from candlewick.operators.filters import drop_incomplete
 from candlewick.operators.joins import enrich_with_cluster_means
 from candlewick.operators.summary import value_counts
+from candlewick.operators.series import Series, newest_rows
 from candlewick.schemas import CLUSTER_FEATURES
+from candlewick.session import cut_lineage
 
 
 def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -25,9 +27,13 @@ def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _scaled(df: DataFrame, columns: Sequence[str]):
-    """Fitted assembler and scaler, and the scaled vectors of the complete rows (kept, spillable)."""
+    """Fitted assembler and scaler, and the scaled vectors of the complete rows.
+
+    The rows are read many times, so their lineage (file scans, windows) is cut first: a lost
+    executor costs a read of the checkpoint, not a rerun of the feature job.
+    """
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features_raw")
-    raw = assembler.transform(_complete(df, columns)).select("features_raw")
+    raw = cut_lineage(assembler.transform(_complete(df, columns)).select("features_raw"))
     scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)
     fitted = scaler.fit(raw)
     vectors = fitted.transform(raw).select("features").persist(StorageLevel.MEMORY_AND_DISK)
@@ -148,21 +154,22 @@ def score_batch(
     model: PipelineModel,
     keys: Sequence[str] = ("Ticker", "Date"),
     recency: str | None = None,
-    by_volatility: bool = False,
+    order: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Deduplicate (newest file wins, when ``recency`` names its column), score, enrich."""
+    """Deduplicate (newest file wins, when ``recency`` names its column), score, enrich.
+
+    ``order`` renumbers the clusters, see :func:`volatility_order`; compute it once, at training. The
+    scored rows feed both the cluster means and the result, so they are checkpointed in between.
+    """
     rows = dedup_newest(features, keys, recency) if recency else features
-    k = model.stages[2].getK()
     scored = predict_into(rows, model)
-    if by_volatility:
-        scored = relabel(scored, volatility_order(scored, k))
-    return enrich_with_cluster_means(scored, n_groups=k)
+    if order is not None:
+        scored = relabel(scored, order)
+    return enrich_with_cluster_means(cut_lineage(scored), n_groups=model.stages[2].getK())
 
 
 def series_analysis(df: DataFrame, key: str = "Ticker", ts: str = "Date", last: int = 5) -> DataFrame:
     """Per entity: newest close and cluster, rows per cluster, last closes in time order."""
-    from candlewick.operators.series import Series, newest_rows
-
     newest_facts = df.groupBy(key).agg(
         F.max_by("Close", ts).alias("latest_close"), F.max_by("Cluster", ts).alias("latest_cluster")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from candlewick.functions import windows as wf
 from candlewick.operators.bars import with_intraday_volatility, with_price_range, with_range_ratios
 from candlewick.operators.filters import drop_incomplete
-from candlewick.operators.series import BARS, Series, Split, fill_forward, in_blocks
+from candlewick.operators.series import BARS, Series, in_blocks
 
 REQUIRED = ("Open", "High", "Low", "Close", "Volume")
 
@@ -25,18 +25,18 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
-def etl_features(df: DataFrame, series: Series = BARS, split: Split | None = None) -> DataFrame:
+def etl_features(df: DataFrame, series: Series = BARS) -> DataFrame:
     """Bars plus SMA_7, SMA_30 (partial at the start), Volatility and Price_Range."""
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
         return rows.withColumns({"SMA_7": wf.sma("Close", 7, w), "SMA_30": wf.sma("Close", 30, w)})
 
     require_columns(df, [*series.key, *series.order, *REQUIRED])
-    out = in_blocks(df, series, split, compute, before=ETL_REACH)
+    out = in_blocks(df, series, compute, before=ETL_REACH)
     return with_price_range(with_intraday_volatility(out))
 
 
 def ml_features(
-    df: DataFrame, series: Series = BARS, split: Split | None = None, keep_incomplete: bool = False
+    df: DataFrame, series: Series = BARS, keep_incomplete: bool = False
 ) -> DataFrame:
     """Bars plus returns, averages, volatility, RSI, lags and targets.
 
@@ -44,7 +44,7 @@ def ml_features(
     Rows without Returns_1d or Volatility_5d are dropped unless ``keep_incomplete``.
     """
     require_columns(df, [*series.key, *series.order, *REQUIRED])
-    filled = fill_forward(df, {"_close": F.col("Close"), "_volume": F.col("Volume")}, series, split)
+    fill = {"_close": F.col("Close"), "_volume": F.col("Volume")}
 
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
         rows = rows.withColumns({
@@ -65,7 +65,7 @@ def ml_features(
             "RSI": wf.rsi("_step", 14, w),
         })
 
-    rows = in_blocks(filled, series, split, compute, before=ML_REACH, after=1)
+    rows = in_blocks(df, series, compute, before=ML_REACH, after=1, fill=fill)
     rows = with_range_ratios(with_price_range(rows))
     rows = rows.withColumn("SMA_Cross", F.col("SMA_5") - F.col("SMA_20"))
     rows = rows.drop("_close", "_volume", "_step")
@@ -78,13 +78,12 @@ def sma(
     k: int,
     min_periods: int = 1,
     series: Series = BARS,
-    split: Split | None = None,
     name: str | None = None,
 ) -> DataFrame:
     """Moving average; ``min_periods=k`` leaves the first k-1 rows null."""
     target = name or f"SMA_{k}"
     return in_blocks(
-        df, series, split, lambda rows, w: rows.withColumn(target, wf.sma(column, k, w, min_periods)), k
+        df, series, lambda rows, w: rows.withColumn(target, wf.sma(column, k, w, min_periods)), k
     )
 
 
@@ -94,18 +93,16 @@ def pct_change(
     n: int = 1,
     scale: float = 1.0,
     series: Series = BARS,
-    split: Split | None = None,
     name: str | None = None,
 ) -> DataFrame:
     """Relative change against n rows ago, gaps filled forward first; ``scale=100`` for percent."""
     target = name or f"{column}_change_{n}"
-    filled = fill_forward(df, {"_filled": F.col(column)}, series, split)
     return in_blocks(
-        filled,
+        df,
         series,
-        split,
         lambda rows, w: rows.withColumn(target, wf.change_over("_filled", n, w) * scale),
         n,
+        fill={"_filled": F.col(column)},
     ).drop("_filled")
 
 
@@ -114,12 +111,11 @@ def rolling_std(
     column: str,
     k: int,
     series: Series = BARS,
-    split: Split | None = None,
     name: str | None = None,
 ) -> DataFrame:
     target = name or f"{column}_std_{k}"
     return in_blocks(
-        df, series, split, lambda rows, w: rows.withColumn(target, wf.rolling_std(column, k, w)), k
+        df, series, lambda rows, w: rows.withColumn(target, wf.rolling_std(column, k, w)), k
     )
 
 
@@ -128,12 +124,10 @@ def lags(
     column: str,
     steps: Sequence[int],
     series: Series = BARS,
-    split: Split | None = None,
 ) -> DataFrame:
     return in_blocks(
         df,
         series,
-        split,
         lambda rows, w: rows.withColumns({f"Lag_{n}_{column}": F.lag(column, n).over(w) for n in steps}),
         max(steps),
     )
@@ -145,7 +139,6 @@ def sma_cross(
     slow: int = 20,
     column: str = "Close",
     series: Series = BARS,
-    split: Split | None = None,
 ) -> DataFrame:
     """Fast minus slow average, and ``Cross_Signal``: 1 / -1 where the sign turns up / down, else 0."""
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
@@ -155,7 +148,7 @@ def sma_cross(
         turned = F.when(now != earlier, now.cast("int")).otherwise(F.lit(0))
         return rows.withColumn("Cross_Signal", turned)
 
-    return in_blocks(df, series, split, compute, slow + 1)
+    return in_blocks(df, series, compute, slow + 1)
 
 
 def rsi(
@@ -163,23 +156,21 @@ def rsi(
     column: str = "Close",
     period: int = 14,
     series: Series = BARS,
-    split: Split | None = None,
 ) -> DataFrame:
     def compute(rows: DataFrame, w: WindowSpec) -> DataFrame:
         rows = rows.withColumn("_step", wf.delta(column, w))
         return rows.withColumn("RSI", wf.rsi("_step", period, w)).drop("_step")
 
-    return in_blocks(df, series, split, compute, period)
+    return in_blocks(df, series, compute, period)
 
 
 def targets(
-    df: DataFrame, column: str = "Close", series: Series = BARS, split: Split | None = None
+    df: DataFrame, column: str = "Close", series: Series = BARS
 ) -> DataFrame:
     """Target_Up and Target_Change: what the next row does."""
     return in_blocks(
         df,
         series,
-        split,
         lambda rows, w: rows.withColumns(
             {"Target_Up": wf.target_up(column, w), "Target_Change": wf.target_change(column, w)}
         ),

@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.scalar import as_column
-from candlewick.operators.series import BARS, Series, Split, chrono_split, newest_rows, sequences
+from candlewick.operators.series import BARS, Series, chrono_split, newest_rows, sequences
 
 
 @dataclass(frozen=True)
@@ -34,22 +33,22 @@ def train_forecaster(
     n: int = 60,
     fraction: float = 0.8,
     series: Series = BARS,
-    split: Split | None = None,
     ridge: float = 0.1,
 ) -> LagModel:
     """Linear model from the ``n`` previous values, fitted on the first part of every series.
 
     Training touches n + 1 numbers per row; the solver gathers one n x n matrix, whatever the rows.
     """
-    rows = chrono_split(sequences(df, value, n, series, split), fraction, series, split)
+    rows = chrono_split(sequences(df, value, n, series), fraction, series)
     data = rows.select(array_to_vector("lags").alias("features"), F.col("label").cast("double"), "part")
     train, test = data.filter("part = 'train'"), data.filter("part = 'test'")
     fit = LinearRegression(regParam=ridge, elasticNetParam=0.0, solver="normal").fit(train)
     predicted = fit.transform(test)
-    metrics = {
-        "val_loss": RegressionEvaluator(metricName="mse").evaluate(predicted),
-        "val_mae": RegressionEvaluator(metricName="mae").evaluate(predicted),
-    }
+    error = F.col("prediction") - F.col("label")
+    # Both errors in one pass over the test rows.
+    metrics = predicted.agg(
+        F.avg(error * error).alias("val_loss"), F.avg(F.abs(error)).alias("val_mae")
+    ).first().asDict()
     return LagModel(tuple(float(c) for c in fit.coefficients), float(fit.intercept), metrics)
 
 

@@ -1,20 +1,20 @@
 """Ordered series of one entity, and how a long one is spread over many tasks.
 
-A window partitioned by the entity puts a whole series into one task. That is fine while the series
-is bounded by the calendar, as deduplicated daily bars are. Raw points are not: one entity may hold
-a third of a huge table. For them every operator takes a :class:`Split`:
+A window partitioned by the entity puts a whole series into one task. That is fine while the calendar
+bounds the series, as it does for bars with one row per entity and day. Raw points are not bounded:
+one entity may hold a third of a huge table. Their :class:`Series` carries a :class:`Split`, and then
 
-* running values (:func:`fill_forward`, positions) are computed inside time buckets, and what each
-  bucket inherits comes from one summary row per earlier bucket;
+* running values (last known value, position) are computed inside time buckets, and what a bucket
+  inherits comes from one summary row per earlier bucket (:func:`running`);
 * bounded ROWS frames are computed inside blocks of equal row count, each with a copy of the rows
   its frames reach back to (:func:`in_blocks`).
 
-Both give the same result as the plain window, to the last row.
+Both give the same rows as the plain window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -23,17 +23,34 @@ from pyspark.sql import functions as F
 from candlewick.functions.scalar import packed_order
 
 
+@dataclass(frozen=True)
+class Split:
+    """How to cut a series: ``grain`` of the time buckets, and rows per block.
+
+    Choose a grain whose buckets fit one task: one (entity, bucket) group is sorted as a whole. The
+    number of buckets per entity is bounded by the calendar, so their summaries stay small.
+    """
+
+    grain: str = "hour"
+    block_rows: int = 200_000
+
+    def bucket(self, time: str) -> Column:
+        return F.date_trunc(self.grain, F.col(time))
+
+
 @dataclass(frozen=True)
 class Series:
     """Names the entity columns, the time column and the tie-break columns of a table.
 
     (key, time, tie) must be unique, so that the order within a series is total. A single tie-break
-    column must be a non-negative integer below 10^18, such as an event number.
+    column must be a non-negative integer below 10^18, such as an event number. Leave ``split`` out
+    only where the calendar bounds the rows per entity.
     """
 
     key: tuple[str, ...] = ("Ticker",)
     time: str = "Date"
     tie: tuple[str, ...] = ()
+    split: Split | None = None
 
     @property
     def order(self) -> list[str]:
@@ -54,106 +71,100 @@ class Series:
         return Window.partitionBy(*self.key).orderBy(*[F.col(c).desc() for c in self.order])
 
 
+# One row per symbol and day.
 BARS = Series()
 
 
-@dataclass(frozen=True)
-class Split:
-    """How to cut a series: ``grain`` of the time buckets, and rows per block.
-
-    Choose a grain whose buckets fit one task: one (entity, grain) group is sorted as a whole. The
-    number of buckets per entity is bounded by the calendar, so their summaries stay small.
-    """
-
-    grain: str = "hour"
-    block_rows: int = 200_000
-
-    def bucket(self, time: str) -> Column:
-        return F.date_trunc(self.grain, F.col(time))
-
-
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[f"_r_{k}"])
-    return condition
-
-
 def _attach(rows: DataFrame, summary: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Adds the summary of each row's bucket. Adaptive execution broadcasts it only if it is small."""
+    """Adds the summary of each row's group. Adaptive execution broadcasts it only if it is small."""
     renamed = summary.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *values)
-    joined = rows.join(renamed, _same_keys(rows, renamed, keys), "left")
-    return joined.drop(*[f"_r_{k}" for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return rows.join(renamed, same, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def _before(series: Series) -> WindowSpec:
-    """All earlier buckets of the same entity."""
-    w = Window.partitionBy(*series.key).orderBy(F.col("_bucket").asc_nulls_first())
-    return w.rowsBetween(Window.unboundedPreceding, -1)
+def running(
+    df: DataFrame,
+    fill: Mapping[str, Column] | None = None,
+    position: str | None = None,
+    series: Series = BARS,
+) -> DataFrame:
+    """Adds running values of each series.
 
+    ``fill`` maps a new column to an expression whose last non-null value at or before the row it
+    holds; ``position`` names a column for the 1-based place of the row.
+    """
+    fill = dict(fill or {})
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if series.split is None:
+        w = series.window()
+        added = {n: F.last(c, ignorenulls=True).over(w.rowsBetween(*upto)) for n, c in fill.items()}
+        if position:
+            added[position] = F.row_number().over(w).cast("long")
+        return df.withColumns(added)
 
-def with_position(
-    df: DataFrame, series: Series = BARS, split: Split | None = None, name: str = "_pos"
-) -> DataFrame:
-    """1-based position of each row within its series."""
-    if split is None:
-        return df.withColumn(name, F.row_number().over(series.window()).cast("long"))
-    rows = df.withColumn("_bucket", split.bucket(series.time))
     keys = [*series.key, "_bucket"]
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    base = sizes.select(*keys, F.coalesce(F.sum("_n").over(_before(series)), F.lit(0)).alias("_base"))
-    local = rows.withColumn(name, F.row_number().over(series.window("_bucket")))
-    return (
-        _attach(local, base, keys, ["_base"])
-        .withColumn(name, F.col(name) + F.col("_base"))
-        .drop("_bucket", "_base")
+    own = {n: f"_own_{n}" for n in fill}
+    rows = df.withColumns({
+        "_bucket": series.split.bucket(series.time), **{own[n]: c for n, c in fill.items()}
+    })
+    # One row per bucket: its size, and its last known value of each column.
+    order = series.order_value()
+    summary = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in own.values()],
+    )
+    earlier = Window.partitionBy(*series.key).orderBy(F.col("_bucket").asc_nulls_first())
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    inherited = summary.select(
+        *keys,
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"),
+        *[F.last(F.col(c), ignorenulls=True).over(earlier).alias(f"_in{c}") for c in own.values()],
     )
+    w = series.window("_bucket")
+    local = {c: F.last(F.col(c), ignorenulls=True).over(w.rowsBetween(*upto)) for c in own.values()}
+    if position:
+        local[position] = F.row_number().over(w)
+    carried = [f"_in{c}" for c in own.values()]
+    rows = _attach(rows.withColumns(local), inherited, keys, ["_base", *carried])
+    done = {n: F.coalesce(F.col(c), F.col(f"_in{c}")) for n, c in own.items()}
+    if position:
+        done[position] = F.col(position) + F.col("_base")
+    return rows.withColumns(done).drop("_bucket", "_base", *own.values(), *carried)
+
+
+def with_position(df: DataFrame, series: Series = BARS, name: str = "_pos") -> DataFrame:
+    """1-based position of each row within its series."""
+    return running(df, position=name, series=series)
 
 
-def fill_forward(
-    df: DataFrame, values: dict[str, Column], series: Series = BARS, split: Split | None = None
-) -> DataFrame:
+def fill_forward(df: DataFrame, values: Mapping[str, Column], series: Series = BARS) -> DataFrame:
     """Adds, per entry, the last non-null value of its expression at or before each row."""
-    if split is None:
-        w = series.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({n: F.last(c, ignorenulls=True).over(w) for n, c in values.items()})
-    keys = [*series.key, "_bucket"]
-    own = {f"_own_{n}": c for n, c in values.items()}
-    rows = df.withColumns({"_bucket": split.bucket(series.time), **own})
-    order = series.order_value()
-    ends = rows.groupBy(*keys).agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in own
-    ])
-    carried = ends.select(*keys, *[
-        F.last(F.col(c), ignorenulls=True).over(_before(series)).alias(f"_in{c}") for c in own
-    ])
-    w = series.window("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in own})
-    rows = _attach(rows, carried, keys, [f"_in{c}" for c in own])
-    rows = rows.withColumns({n: F.coalesce(F.col(f"_own_{n}"), F.col(f"_in_own_{n}")) for n in values})
-    return rows.drop("_bucket", *own, *[f"_in{c}" for c in own])
+    return running(df, values, series=series)
 
 
 def in_blocks(
     df: DataFrame,
     series: Series,
-    split: Split | None,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
     before: int,
     after: int = 0,
+    fill: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Runs ``compute(rows, window)`` over each series, cut into blocks if there is a split.
+    """Runs ``compute(rows, window)`` over each series, cut into blocks if the series has a split.
 
     ``before`` and ``after`` say how many rows the composed frames reach back and ahead; they must
-    cover chains (a 5-row deviation of 1-row returns reaches back 5). ``compute`` may add columns
-    but must neither drop nor reorder rows.
+    cover chains (a 5-row deviation of 1-row returns reaches back 5). ``fill`` adds forward-filled
+    columns first, as :func:`running` does. ``compute`` may add columns but must neither drop nor
+    reorder rows.
     """
-    if split is None:
-        return compute(df, series.window())
-    size = split.block_rows
+    if series.split is None:
+        return compute(running(df, fill, series=series) if fill else df, series.window())
+    size = series.split.block_rows
     if max(before, after) > size:
         raise ValueError("a block must hold at least as many rows as a frame reaches")
-    rows = with_position(df, series, split)
+    rows = running(df, fill, "_pos", series)
     block = F.expr(f"(_pos - 1) div {size}")
     offset = (F.col("_pos") - 1) % size
     targets = F.array(
@@ -162,14 +173,11 @@ def in_blocks(
         F.when((offset < after) & (block > 0), block - 1),
     )
     rows = rows.withColumn("_home", block).withColumn("_block", F.explode(F.array_compact(targets)))
-    w = Window.partitionBy(*series.key, "_block").orderBy("_pos")
-    done = compute(rows, w)
+    done = compute(rows, Window.partitionBy(*series.key, "_block").orderBy("_pos"))
     return done.filter(F.col("_block") == F.col("_home")).drop("_pos", "_home", "_block")
 
 
-def islands(
-    df: DataFrame, condition: Column, series: Series = BARS, split: Split | None = None
-) -> DataFrame:
+def islands(df: DataFrame, condition: Column, series: Series = BARS) -> DataFrame:
     """Adds ``_holds`` and ``_island``: rows of one unbroken run share the id.
 
     The id is the order value of the last row where the condition failed (null before the first).
@@ -177,19 +185,15 @@ def islands(
     """
     mark = series.order_value()
     rows = df.withColumn("_holds", F.coalesce(condition, F.lit(False)))
-    return fill_forward(rows, {"_island": F.when(~F.col("_holds"), mark)}, series, split)
+    return fill_forward(rows, {"_island": F.when(~F.col("_holds"), mark)}, series)
 
 
 def longest_streak(
-    df: DataFrame,
-    condition: Column,
-    series: Series = BARS,
-    min_run: int = 2,
-    split: Split | None = None,
+    df: DataFrame, condition: Column, series: Series = BARS, min_run: int = 2
 ) -> DataFrame:
     """Per entity: longest run of rows that meet the condition, and whether it reaches ``min_run``."""
     held = F.sum(F.col("_holds").cast("int"))
-    runs = islands(df, condition, series, split).groupBy(*series.key, "_island").agg(held.alias("_run"))
+    runs = islands(df, condition, series).groupBy(*series.key, "_island").agg(held.alias("_run"))
     return runs.groupBy(*series.key).agg(
         F.max("_run").alias("max_streak"), (F.max("_run") >= min_run).alias("confirmed")
     )
@@ -232,11 +236,7 @@ def latest_change(df: DataFrame, value: str = "Close", series: Series = BARS) ->
 
 
 def sequences(
-    df: DataFrame,
-    value: str = "Close",
-    n: int = 60,
-    series: Series = BARS,
-    split: Split | None = None,
+    df: DataFrame, value: str = "Close", n: int = 60, series: Series = BARS
 ) -> DataFrame:
     """Per row: array of the ``n`` values before it (``lags``, oldest first) and its own (``label``).
 
@@ -246,16 +246,14 @@ def sequences(
         return rows.withColumn("lags", F.collect_list(value).over(w.rowsBetween(-n, -1)))
 
     slim = df.select(*series.key, *series.order, value)
-    rows = in_blocks(slim, series, split, compute, before=n).filter(F.size("lags") == n)
+    rows = in_blocks(slim, series, compute, before=n).filter(F.size("lags") == n)
     return rows.withColumn("label", F.col(value)).drop(value)
 
 
-def chrono_split(
-    df: DataFrame, fraction: float = 0.8, series: Series = BARS, split: Split | None = None
-) -> DataFrame:
+def chrono_split(df: DataFrame, fraction: float = 0.8, series: Series = BARS) -> DataFrame:
     """Adds ``part``: 'train' for the first floor(fraction * rows) of each series, else 'test'."""
-    rows = with_position(df, series, split)
-    if split is None:
+    rows = with_position(df, series)
+    if series.split is None:
         total = F.count(F.lit(1)).over(Window.partitionBy(*series.key))
         rows = rows.withColumn("_total", total)
     else:
@@ -265,16 +263,10 @@ def chrono_split(
     return rows.withColumn("part", F.when(train, "train").otherwise("test")).drop("_pos", "_total")
 
 
-def sustained(
-    df: DataFrame,
-    condition: Column,
-    at_least: str,
-    series: Series,
-    split: Split | None = Split("minute"),
-) -> DataFrame:
+def sustained(df: DataFrame, condition: Column, at_least: str, series: Series) -> DataFrame:
     """Unbroken runs of the condition that last ``at_least`` (an interval such as '1 minute')."""
     runs = (
-        islands(df, condition, series, split)
+        islands(df, condition, series)
         .filter("_holds")
         .groupBy(*series.key, "_island")
         .agg(

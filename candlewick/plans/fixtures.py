@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from candlewick.functions.scalar import packed_order
 from candlewick.operators.bars import build_bars
 from candlewick.operators.features import ml_features
-from candlewick.operators.series import Series
+from candlewick.operators.series import Series, Split
 
 # The price level that plays the part of the index target.
 TARGET = 250_000.0
 NAMES = {"1-URGENT": "Urgent", "2-HIGH": "High", "3-MEDIUM": "Medium"}
-# One event is one point; event_id makes the order of equal times total.
-POINTS = Series(("ticker",), "ts", ("event_id",))
+# One event is one point; event_id makes the order of equal times total. The few types are hot.
+POINTS = Series(("ticker",), "ts", ("event_id",), Split("hour", 2_000))
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

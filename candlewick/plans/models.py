@@ -76,11 +76,14 @@ def batch_score(spark, sf):
     features = ml_features(fx.bars(spark, sf))
     for run in ("first", "second"):
         write_features(features, f"{folder}/{run}")
-    model = cluster.train_clusters(latest_files(spark, folder, 1, by="run"), restarts=2)
-    runs.save_model(model, store, "clusters", {"k": 4}, {})
-    loaded, _ = runs.load_latest(spark, store, "clusters")
+    training = latest_files(spark, folder, 1, by="run")
+    model = cluster.train_clusters(training, restarts=2)
+    order = cluster.volatility_order(cluster.predict_into(training, model), 4)
+    runs.save_model(model, store, "clusters", {"k": 4, "order": ",".join(map(str, order))}, {})
+    loaded, card = runs.load_latest(spark, store, "clusters")
+    order = [int(c) for c in card["params"]["order"].split(",")]
     newest = latest_files(spark, folder, 5, by="run")
-    scored = cluster.score_batch(newest, loaded, recency="_source_modified", by_volatility=True)
+    scored = cluster.score_batch(newest, loaded, recency="_source_modified", order=order)
     write_features(scored.drop("_source_file", "_source_modified"), f"{store}/predictions")
     return rounded(spark.read.parquet(f"{store}/predictions"))
 

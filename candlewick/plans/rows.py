@@ -139,12 +139,12 @@ def fn_dates(spark, sf):
 
 
 @query("fn_round_float", """
-    SELECT l_orderkey, l_linenumber, round(l_extendedprice / 7, 2) AS two,
-           round(l_extendedprice / 7, 1) AS one FROM lineitem""")
+    SELECT l_orderkey, l_linenumber, round(sqrt(l_extendedprice), 2) AS two,
+           round(sqrt(l_extendedprice), 1) AS one FROM lineitem""")
 def fn_round_float(spark, sf):
     items = fx.table(spark, sf, "lineitem")
-    seventh = F.col("l_extendedprice") / 7
-    df = items.select("l_orderkey", "l_linenumber", seventh.alias("two"), seventh.alias("one"))
+    root = F.sqrt("l_extendedprice")
+    df = items.select("l_orderkey", "l_linenumber", root.alias("two"), root.alias("one"))
     return s.round_cols(s.round_cols(df, ["two"], 2), ["one"], 1)
 
 
@@ -205,10 +205,10 @@ def fn_json(spark, sf):
 
 
 @query("fn_map_predictions", with_tables("bars", body="""
-    SELECT "Ticker", "Date", "Date" + i AS day, round("Close" * (1 + i / 100.0), 2) AS value
+    SELECT "Ticker", "Date", "Date" + i AS day, round("Close" * sqrt(i), 2) AS value
     FROM bars, (SELECT unnest([1, 2, 3]) AS i)"""))
 def fn_map_predictions(spark, sf):
-    values = F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda i: F.col("Close") * (1 + i / F.lit(100.0)))
+    values = F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda i: F.col("Close") * F.sqrt(i))
     df = fx.bars(spark, sf).select("Ticker", "Date", s.predictions_map("Date", values).alias("predictions"))
     return s.explode_predictions(df)
 

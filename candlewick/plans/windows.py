@@ -12,7 +12,7 @@ from candlewick.plans import fixtures as fx
 from candlewick.plans.fixtures import FEATURES, TARGET, W, features_sql, round_sql, with_tables
 from candlewick.plans.registry import query, rounded
 
-POINT_SPLIT = sr.Split("hour")
+POINTS = fx.POINTS
 BAR = '"Ticker", "Date", "Open", "High", "Low", "Close", "Volume"'
 
 
@@ -149,8 +149,6 @@ _P = "PARTITION BY ticker ORDER BY ts, event_id"
     FROM points"""))
 def point_features(spark, sf):
     """Rolling features over raw points: few hot series, cut into blocks that overlap by one frame."""
-    filled = sr.fill_forward(fx.points(spark, sf), {"_v": F.col("value")}, fx.POINTS, POINT_SPLIT)
-
     def compute(rows, w):
         return rows.withColumns({
             "change_1": wf.change_over("_v", 1, w),
@@ -158,7 +156,7 @@ def point_features(spark, sf):
             "std_20": wf.rolling_std("value", 20, w),
         })
 
-    out = sr.in_blocks(filled, fx.POINTS, sr.Split("hour", 2_000), compute, before=30)
+    out = sr.in_blocks(fx.points(spark, sf), POINTS, compute, before=30, fill={"_v": F.col("value")})
     return rounded(out.select("ticker", "ts", "event_id", "change_1", "mean_30", "std_20"))
 
 
@@ -193,7 +191,7 @@ def max_streak(spark, sf):
                    sum(CAST(value < 10 AS INTEGER)) OVER ({_P} ROWS UNBOUNDED PRECEDING) AS island FROM points)
         GROUP BY 1, 2) GROUP BY 1"""))
 def max_streak_points(spark, sf):
-    return sr.longest_streak(fx.points(spark, sf), F.col("value") >= 10, fx.POINTS, 4, POINT_SPLIT)
+    return sr.longest_streak(fx.points(spark, sf), F.col("value") >= 10, POINTS, 4)
 
 
 @query("trailing_streak", with_tables("gappy", body=f"""
@@ -224,7 +222,7 @@ def sequence_windows(spark, sf):
     FROM (SELECT *, list(value) OVER ({_P} ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS lags FROM points)
     WHERE len(lags) = 12"""))
 def sequence_windows_points(spark, sf):
-    df = sr.sequences(fx.points(spark, sf), "value", 12, fx.POINTS, sr.Split("hour", 2_000))
+    df = sr.sequences(fx.points(spark, sf), "value", 12, POINTS)
     return df.select(
         "ticker", "ts", "event_id", F.element_at("lags", 1).alias("oldest"),
         F.element_at("lags", -1).alias("newest"), "label",
@@ -244,7 +242,7 @@ def chrono_split(spark, sf):
            CASE WHEN row_number() OVER ({_P}) <= floor(0.8 * count(*) OVER (PARTITION BY ticker))
                 THEN 'train' ELSE 'test' END AS part FROM points"""))
 def chrono_split_points(spark, sf):
-    return sr.chrono_split(fx.points(spark, sf), 0.8, fx.POINTS, POINT_SPLIT)
+    return sr.chrono_split(fx.points(spark, sf), 0.8, POINTS)
 
 
 @query("sustained_condition", with_tables("logs", body="""
@@ -255,7 +253,7 @@ def chrono_split_points(spark, sf):
     HAVING max("@timestamp") - min("@timestamp") >= INTERVAL 5 MINUTE"""))
 def sustained_condition(spark, sf):
     logs = fx.logs(spark, sf).select("pipeline", "@timestamp", "run_id", "severity")
-    series = sr.Series(("pipeline",), "@timestamp", ("run_id",))
+    series = sr.Series(("pipeline",), "@timestamp", ("run_id",), sr.Split("minute"))
     return sr.sustained(logs, F.col("severity") != "FATAL", "5 minutes", series)
 
 

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from candlewick.functions.scalar import as_column
 
 
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def write_features(df: DataFrame, path: str, mode: str = "overwrite", codec: str | None = None) -> None:
     writer = df.write.mode(mode)
     if codec:
@@ -23,8 +26,8 @@ def write_per_entity(df: DataFrame, path: str, key: str = "Ticker", mode: str =
 
 
 def append_docs(df: DataFrame, path: str, mode: str = "append") -> None:
-    """One JSON document per row."""
-    df.write.mode(mode).json(path)
+    """One JSON document per row; times keep their microseconds."""
+    df.write.mode(mode).option("timestampFormat", JSON_TIME).json(path)
 
 
 def to_bulk_ndjson(

@@ -140,7 +140,7 @@ def late_rows(query: StreamingQuery) -> int:
 
 def late_count(query: StreamingQuery) -> DataFrame:
     """The same number as a one-row table."""
-    return query.sparkSession.createDataFrame([(late_rows(query),)], "late_rows long")
+    return SparkSession.active().createDataFrame([(late_rows(query),)], "late_rows long")
 
 
 def tick_features(ticks: DataFrame) -> DataFrame:
