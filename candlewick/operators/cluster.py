@@ -44,7 +44,8 @@ def _best_fit(vectors: DataFrame, k: int, restarts: int, seed: int):
     best = None
     for i in range(restarts):
         fit = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="prediction").fit(vectors)
-        if best is None or fit.summary.trainingCost < best.summary.trainingCost:
+        # Costs of equal solutions differ in the last bits from run to run; the first one is kept.
+        if best is None or fit.summary.trainingCost < best.summary.trainingCost * (1 - 1e-9):
             best = fit
     return best
 

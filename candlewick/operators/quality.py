@@ -184,12 +184,10 @@ def nested_report(columns: DataFrame, totals: DataFrame, dataset: str) -> DataFr
     """The report as one document: ``columns`` becomes a map by column name (one entry per column)."""
     rest = [c for c in columns.columns if c != "column"]
     entry = F.struct(F.col("column"), F.struct(*rest))
-    by_name = columns.agg(F.map_from_entries(F.collect_list(entry)).alias("columns"))
-    whole = totals.select(F.struct("*").alias("overall"))
-    # Both sides are results of global aggregations: exactly one row each.
-    one = F.lit(1).alias("_one")
-    joined = by_name.select("*", one).join(whole.select("*", one), "_one")
-    return joined.select(F.lit(dataset).alias("dataset"), "columns", "overall")
+    by_name = columns.agg(F.map_from_entries(F.collect_list(entry)))
+    return totals.select(
+        F.lit(dataset).alias("dataset"), by_name.scalar().alias("columns"), F.struct("*").alias("overall")
+    )
 
 
 def flatten_report(report: DataFrame) -> DataFrame:

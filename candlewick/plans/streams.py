@@ -91,7 +91,7 @@ def stream_tumbling_5m(spark, sf):
     path, out = scratch_path(spark, "windows-in"), scratch_path(spark, "windows-out")
     write_text(_payload(fx.tick_rows(spark, sf)), path)
     windows = tk.tick_windows(tk.accepted(_stream(spark, path)))
-    _drain(tk.start_sink(windows, out, scratch_path(spark, "windows-ck"), trigger=ONCE))
+    _drain(tk.start_sink(windows, out, scratch_path(spark, "windows-ck"), trigger=ONCE, writers=2))
     return rounded(_ntz(tk.upsert_latest(spark.read.parquet(out)), "window_start", "window_end"))
 
 
@@ -104,7 +104,7 @@ def stream_update_upsert(spark, sf):
     for part in (0, 1):
         write_text(_payload(rows.filter(F.col("event_id") % 2 == part)), path, mode="append")
         windows = tk.tick_windows(tk.accepted(_stream(spark, path)), watermark=WIDE)
-        _drain(tk.start_sink(windows, out, checkpoint, trigger=ONCE))
+        _drain(tk.start_sink(windows, out, checkpoint, trigger=ONCE, writers=2))
     return rounded(_ntz(tk.upsert_latest(spark.read.parquet(out)), "window_start", "window_end"))
 
 
@@ -116,7 +116,7 @@ def foreach_batch_sink(spark, sf):
     path, out = scratch_path(spark, "dated-in"), scratch_path(spark, "dated-out")
     write_text(_payload(fx.tick_rows(spark, sf)), path)
     windows = tk.tick_windows(tk.accepted(_stream(spark, path)))
-    _drain(tk.start_sink(windows, out, scratch_path(spark, "dated-ck"), trigger=ONCE))
+    _drain(tk.start_sink(windows, out, scratch_path(spark, "dated-ck"), trigger=ONCE, writers=2))
     return spark.read.parquet(out).groupBy("dt", "ticker").agg(
         F.count(F.lit(1)).alias("n_windows"), F.sum("total_volume").alias("n_ticks")
     )
@@ -133,7 +133,7 @@ def stream_late_drop(spark, sf):
     for part in (newer, ~newer):
         write_text(_payload(rows.filter(part)), path, mode="append")
         windows = tk.tick_windows(tk.accepted(_stream(spark, path)))
-        last = _drain(tk.start_sink(windows, out, checkpoint, mode="append", trigger=ONCE))
+        last = _drain(tk.start_sink(windows, out, checkpoint, mode="append", trigger=ONCE, writers=2))
     return tk.late_count(last)
 
 
@@ -143,7 +143,7 @@ def stream_file_count(spark, sf):
     path, out = scratch_path(spark, "count-in"), scratch_path(spark, "count-out")
     write_text(_payload(fx.tick_rows(spark, sf)), path)
     windows = tk.tick_windows(tk.accepted(_stream(spark, path)))
-    _drain(tk.start_sink(windows, out, scratch_path(spark, "count-ck"), trigger=ONCE))
+    _drain(tk.start_sink(windows, out, scratch_path(spark, "count-ck"), trigger=ONCE, writers=2))
     return inventory(spark, out).select("prefix", "n_files")
 
 

@@ -92,18 +92,22 @@ def start_sink(
     mode: str = "update",
     trigger: Mapping[str, object] | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    writers: int | None = None,
 ) -> StreamingQuery:
     """Stores every micro-batch below ``path/dt=.../batch_id=...``.
 
     A batch that is repeated after a failure overwrites exactly what it wrote before, so the table
     holds each batch once. ``dt`` comes from event time and prunes later reads. ``prepare`` may
-    shape a batch before it is written; the batch is evaluated once.
+    shape a batch before it is written; the batch is evaluated once. ``writers`` spreads the
+    aggregated rows evenly over that many tasks, which bounds the files per day and batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch if prepare is None else prepare(batch)
         rows = rows.withColumns({
             "dt": F.to_date(time_column), "batch_id": F.lit(batch_id).cast("long"),
         })
+        if writers:
+            rows = rows.repartition(writers)
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
