@@ -49,10 +49,12 @@ def with_symbol_name(
 ) -> DataFrame:
     """Adds the name of each symbol; null for an unknown one.
 
-    A dictionary becomes a literal map (no join). A table with columns (column, target) is joined.
+    A dictionary becomes a literal map (no join). A table with columns (column, target) is joined; of
+    several names for one symbol the first in sort order is taken.
     """
     if isinstance(names, DataFrame):
-        return df.join(names.select(column, target).dropDuplicates([column]), column, "left")
+        one_each = names.groupBy(column).agg(F.min(target).alias(target))
+        return df.join(one_each, column, "left")
     return df.withColumn(target, symbol_name(column, names))
 
 

@@ -74,6 +74,28 @@ class Series:
 # One row per symbol and day.
 BARS = Series()
 
+GRAINS = ("day", "hour", "minute", "second", "millisecond")
+
+
+def choose_split(
+    df: DataFrame, series: Series, rows_per_task: int = 5_000_000, block_rows: int = 200_000
+) -> Split | None:
+    """The coarsest split whose largest (entity, bucket) group fits one task; None if every entity fits.
+
+    Measures instead of guessing: each step is one aggregation over the entity and time columns, and
+    only the largest count comes back.
+    """
+    def largest(*groups: Column | str) -> int:
+        sizes = df.groupBy(*series.key, *groups).agg(F.count(F.lit(1)).alias("_n"))
+        return sizes.agg(F.max("_n")).first()[0] or 0
+
+    if largest() <= rows_per_task:
+        return None
+    for grain in GRAINS:
+        if largest(F.date_trunc(grain, F.col(series.time))) <= rows_per_task:
+            return Split(grain, block_rows)
+    return Split(GRAINS[-1], block_rows)
+
 
 def _attach(rows: DataFrame, summary: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Adds the summary of each row's group. Adaptive execution broadcasts it only if it is small."""

@@ -8,10 +8,10 @@ from candlewick.operators import cluster, forecast, runs
 from candlewick.operators.features import etl_features, ml_features
 from candlewick.operators.series import BARS
 from candlewick.plans import fixtures as fx
-from candlewick.plans.fixtures import TARGET, with_tables
+from candlewick.plans.fixtures import TARGET, features_sql, with_tables
 from candlewick.plans.registry import query, rounded
 from candlewick.plans.streams import ONCE, _drain, _payload, _stream
-from candlewick.schemas import ETL_CLUSTER_FEATURES
+from candlewick.schemas import CLUSTER_FEATURES, ETL_CLUSTER_FEATURES
 from candlewick.session import scratch_path
 from candlewick.sources.files import latest_files
 from candlewick.sources.sinks import write_features, write_text
@@ -61,21 +61,36 @@ def kmeans_sweep(spark, sf):
     return cluster.sweep(ml_features(fx.bars(spark, sf)), (3, 4, 5), restarts=2)
 
 
-@query("prediction_backfill")
+_COMPLETE = " AND ".join(f'"{c}" IS NOT NULL' for c in CLUSTER_FEATURES)
+
+
+@query("prediction_backfill", with_tables("gappy", body=f"""
+    SELECT "Ticker", "Date", "Close", {_COMPLETE} AS scored FROM ({features_sql("gappy")})
+    WHERE "Returns_1d" IS NOT NULL AND "Volatility_5d" IS NOT NULL"""))
 def prediction_backfill(spark, sf):
     """Every feature row, scored where it is complete."""
     features = ml_features(fx.gappy(spark, sf))
     model = cluster.train_clusters(features, restarts=2)
-    return cluster.predict_into(features, model).select("Ticker", "Date", "Close", "RSI", "Cluster")
+    scored = cluster.predict_into(features, model)
+    return scored.select("Ticker", "Date", "Close", F.col("Cluster").between(0, 3).alias("_in")).select(
+        "Ticker", "Date", "Close", F.coalesce("_in", F.lit(False)).alias("scored")
+    )
 
 
-@query("batch_score")
+@query("batch_score", with_tables("features", body=f"""
+    SELECT "Ticker", "Date", "Close", round("RSI", 6) AS "RSI", {_COMPLETE} AS scored,
+           CASE WHEN {_COMPLETE} THEN 0.0 END AS off FROM features
+    WHERE "Returns_1d" IS NOT NULL AND "Volatility_5d" IS NOT NULL"""))
 def batch_score(spark, sf):
-    """Newest model, newest feature runs, newest copy of each row, enriched and stored."""
+    """Newest model, newest feature runs, newest copy of each row, enriched and stored.
+
+    Cluster numbers are the model's own, so the result shows what must hold for any of them: one row
+    per bar, scored where complete, ``off`` = how far Price_vs_Cluster is from its definition.
+    """
     store, folder = scratch_path(spark, "store"), scratch_path(spark, "feature-runs")
     features = ml_features(fx.bars(spark, sf))
     for run in ("first", "second"):
-        write_features(features, f"{folder}/{run}")
+        write_features(features, folder, stamp=run)
     training = latest_files(spark, folder, 1, by="run")
     model = cluster.train_clusters(training, restarts=2)
     order = cluster.volatility_order(cluster.predict_into(training, model), 4)
@@ -85,7 +100,10 @@ def batch_score(spark, sf):
     newest = latest_files(spark, folder, 5, by="run")
     scored = cluster.score_batch(newest, loaded, recency="_source_modified", order=order)
     write_features(scored.drop("_source_file", "_source_modified"), f"{store}/predictions")
-    return rounded(spark.read.parquet(f"{store}/predictions"))
+    off = F.col("Price_vs_Cluster") - (F.col("Close") - F.col("Cluster_Avg_Close"))
+    return rounded(spark.read.parquet(f"{store}/predictions").select(
+        "Ticker", "Date", "Close", "RSI", F.col("Cluster").isNotNull().alias("scored"), F.abs(off).alias("off")
+    ))
 
 
 @query("model_store")
@@ -206,9 +224,14 @@ def first_hit(spark, sf):
     return forecast.first_hit(_forecasts(spark, sf), TARGET)
 
 
-@query("stream_predict")
+@query("stream_predict", with_tables("ticks", body="""
+    SELECT ticker, CAST(count(*) AS BIGINT) AS n_scored, CAST(count(*) AS BIGINT) AS n_sent,
+           CAST(0 AS BIGINT) AS n_mislabeled FROM ticks GROUP BY 1"""))
 def stream_predict(spark, sf):
-    """Ticks arrive on a stream, are scored, and go to a JSON table and to a topic payload folder."""
+    """Ticks arrive on a stream, are scored, and go to a JSON table and to a topic payload folder.
+
+    Per ticker: rows stored, rows sent, and rows whose labels do not fit their cluster.
+    """
     features = ml_features(fx.bars(spark, sf))
     model = cluster.train_clusters(features, restarts=1)
     order = cluster.volatility_order(cluster.predict_into(features, model), 4)
@@ -222,7 +245,12 @@ def stream_predict(spark, sf):
         tk.accepted(_stream(spark, path)), model, out, scratch_path(spark, "score-ck"), order, send, ONCE
     )
     _drain(started)
-    sent = spark.read.parquet(topic).groupBy("key").agg(F.count(F.lit(1)).alias("n_sent"))
+    sent = spark.read.parquet(topic).groupBy(F.col("key").alias("ticker")).agg(F.count(F.lit(1)).alias("n_sent"))
     stored = spark.read.schema("ticker string, cluster int, risk_level string, market_sentiment string").json(out)
-    scored = stored.groupBy("ticker", "cluster", "risk_level", "market_sentiment").agg(F.count(F.lit(1)).alias("n"))
-    return scored.join(sent, scored["ticker"] == sent["key"]).drop("key")
+    c = F.col("cluster")
+    risk = F.when(c == 3, "high").when(c == 2, "medium").when(c.isin(0, 1), "low")
+    fits = (F.col("risk_level") == risk) & ((F.col("market_sentiment") == "bullish") == (c <= 1))
+    scored = stored.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(~F.coalesce(fits, F.lit(False))).alias("n_mislabeled")
+    )
+    return scored.join(sent, "ticker")

@@ -56,7 +56,7 @@ def scan_latest_n_files(spark, sf):
     bars = fx.bars(spark, sf).select("Ticker", "Date", "Close")
     ages = {"a": year < 1998, "b": year.between(1998, 1999), "c": year >= 2000}
     for run, rows in ages.items():
-        sinks.write_features(bars.filter(rows), f"{path}/{run}")
+        sinks.write_features(bars.filter(rows), path, stamp=run)
     return files.latest_files(spark, path, 2, by="run").select("Ticker", "Date", "Close")
 
 

@@ -13,16 +13,25 @@ from candlewick.functions.scalar import as_column
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def write_features(df: DataFrame, path: str, mode: str = "overwrite", codec: str | None = None) -> None:
+def write_features(
+    df: DataFrame, path: str, mode: str = "overwrite", codec: str | None = None, stamp: str | None = None
+) -> str:
+    """Stores features as parquet, with ``stamp`` in a folder of that run; returns the folder."""
+    target = path if stamp is None else f"{path}/{stamp}"
     writer = df.write.mode(mode)
     if codec:
         writer = writer.option("compression", codec)
-    writer.parquet(path)
+    writer.parquet(target)
+    return target
 
 
 def write_per_entity(df: DataFrame, path: str, key: str = "Ticker", mode: str = "overwrite") -> None:
-    """CSV files in one folder per entity. Tasks write their own rows; nothing is gathered per entity."""
-    df.write.mode(mode).partitionBy(key).option("header", True).csv(path)
+    """CSV files in one folder per entity.
+
+    The rebalance hint brings the rows of an entity together, so that not every task writes a file
+    for every entity, and still cuts a hot entity into tasks of the usual size.
+    """
+    df.hint("rebalance", key).write.mode(mode).partitionBy(key).option("header", True).csv(path)
 
 
 def append_docs(df: DataFrame, path: str, mode: str = "append") -> None:
