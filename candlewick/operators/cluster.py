@@ -34,6 +34,8 @@ def _scaled(df: DataFrame, columns: Sequence[str]):
     """
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features_raw")
     raw = cut_lineage(assembler.transform(_complete(df, columns)).select("features_raw"))
+    if raw.isEmpty():
+        raise ValueError("no row has all model inputs: " + ", ".join(columns))
     scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)
     fitted = scaler.fit(raw)
     vectors = fitted.transform(raw).select("features").persist(StorageLevel.MEMORY_AND_DISK)

@@ -68,9 +68,9 @@ _COMPLETE = " AND ".join(f'"{c}" IS NOT NULL' for c in CLUSTER_FEATURES)
     SELECT "Ticker", "Date", "Close", {_COMPLETE} AS scored FROM ({features_sql("gappy")})
     WHERE "Returns_1d" IS NOT NULL AND "Volatility_5d" IS NOT NULL"""))
 def prediction_backfill(spark, sf):
-    """Every feature row, scored where it is complete."""
+    """Every row of a gappy table, scored where it is complete, by the model of the full one."""
+    model = cluster.train_clusters(ml_features(fx.bars(spark, sf)), restarts=2)
     features = ml_features(fx.gappy(spark, sf))
-    model = cluster.train_clusters(features, restarts=2)
     scored = cluster.predict_into(features, model)
     return scored.select("Ticker", "Date", "Close", F.col("Cluster").between(0, 3).alias("_in")).select(
         "Ticker", "Date", "Close", F.coalesce("_in", F.lit(False)).alias("scored")

@@ -48,6 +48,11 @@ def test_incomplete_rows_keep_a_null_cluster(blobs):
     assert [r["Ticker"] for r in scored.filter("Cluster IS NULL").collect()] == ["T9"]
 
 
+def test_training_needs_a_complete_row(blobs):
+    with pytest.raises(ValueError, match="x, y"):
+        cluster.train_clusters(blobs.filter("x IS NULL"), ["x", "y"], k=3, restarts=1)
+
+
 def test_labels_follow_volatility(blobs):
     model = cluster.train_clusters(blobs, ["x", "y"], k=3, restarts=1)
     scored = cluster.predict_into(blobs, model)
