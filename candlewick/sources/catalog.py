@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def register_tables(
@@ -19,9 +19,12 @@ def register_tables(
     return views
 
 
-def save_bucketed(df, table: str, key: Sequence[str], buckets: int, sort: Sequence[str] = ()) -> None:
-    """Stores a table bucketed by its entity, so that later windows and joins on it need no shuffle."""
-    writer = df.write.mode("overwrite").bucketBy(buckets, *key)
-    if sort:
-        writer = writer.sortBy(*sort)
-    writer.saveAsTable(table)
+def save_bucketed(
+    df: DataFrame, table: str, path: str, key: Sequence[str] = ("Ticker",), buckets: int = 200
+) -> None:
+    """Stores a table bucketed by its entity, so that later windows and joins on it need no shuffle.
+
+    The rows are hashed to their bucket first: one file per bucket instead of one per task and bucket.
+    """
+    rows = df.repartition(buckets, *key)
+    rows.write.mode("overwrite").bucketBy(buckets, *key).option("path", path).saveAsTable(table)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +12,22 @@ from pyspark.sql.types import StructType
 from candlewick.schemas import BAR, RAW_BAR
 
 
+CSV = {"header": True, "enforceSchema": False}
+
+
+def _below(root: str) -> Column:
+    """The part of ``path`` below ``root``."""
+    bare = re.sub(r"^[a-z0-9]+:/*", "", root).rstrip("/") + "/"
+    return F.substr("path", F.locate(bare, F.col("path")) + len(bare))
+
+
 def read_bars(spark: SparkSession, path: str | Sequence[str], schema: StructType = BAR) -> DataFrame:
     """Bars from CSV files with a header; cells that do not fit the type become null.
 
-    ``schema=RAW_BAR`` reads everything as text, for the type and date checks.
+    ``schema=RAW_BAR`` reads everything as text, for the type and date checks. A header that does not
+    match the schema is an error, not a shift of columns.
     """
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(schema).options(**CSV, mode="PERMISSIVE")
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
@@ -38,7 +49,7 @@ def read_prefix(
     """Every file below a prefix as one table, each row tagged with its file."""
     reader = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", True)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV)
     df = reader.load(prefix)
     return with_source(df) if with_source_columns else df
 
@@ -54,8 +65,14 @@ def list_files(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
 def latest_paths(
     spark: SparkSession, root: str, n: int, suffix: str = "", by: str = "file"
 ) -> list[str]:
-    """The ``n`` newest files; ``by='run'`` counts the folder one write produced as one item."""
-    item: Column = F.col("path") if by == "file" else F.regexp_replace("path", r"/[^/]+$", "")
+    """The ``n`` newest files; ``by='run'`` counts each folder right below ``root`` as one item.
+
+    The listing is a table; only the n chosen paths come back.
+    """
+    item = F.col("path")
+    if by == "run":
+        run = F.substring_index(_below(root), "/", 1)
+        item = F.concat(F.substr("path", F.lit(1), F.length("path") - F.length(_below(root))), run)
     newest = (
         list_files(spark, root, suffix)
         .groupBy(item.alias("item"))
@@ -83,7 +100,7 @@ def latest_files(
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV)
     return with_source(reader.load(paths))
 
 
@@ -118,9 +135,7 @@ def read_text_docs(spark: SparkSession, path: str | Sequence[str], glob: str | N
 def file_inventory(spark: SparkSession, root: str, prefixes: Sequence[str] = ()) -> DataFrame:
     """Per prefix (first folder or file name below ``root``): files, size in KB, newest change."""
     files = list_files(spark, root)
-    marker = root.rstrip("/").rsplit("/", 1)[-1] + "/"
-    below = F.substring_index(F.col("path"), marker, -1)
-    files = files.withColumn("prefix", F.substring_index(below, "/", 1))
+    files = files.withColumn("prefix", F.substring_index(_below(root), "/", 1))
     if prefixes:
         files = files.filter(F.col("prefix").isin(list(prefixes)))
     return files.groupBy("prefix").agg(

@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from candlewick.operators import cluster, dedup, features, filters, joins, summary
 from candlewick.operators import series as sr
 from candlewick.plans import fixtures as fx
+from candlewick.sources.catalog import save_bucketed
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,6 +36,21 @@ def test_features_shuffle_and_sort_once(stored, operator):
     assert len(re.findall(r"\bSort \[", text)) == 1
 
 
+def test_bucketed_bars_need_no_shuffle(spark, stored, tmp_path):
+    save_bucketed(stored, "bucketed_bars", str(tmp_path / "bucketed"), buckets=4)
+    try:
+        df = features.ml_features(spark.table("bucketed_bars"))
+        assert exchanges(plan(df)) == []
+        assert df.count() == features.ml_features(stored).count()
+    finally:
+        spark.sql("DROP TABLE bucketed_bars")
+
+
+def test_training_rows_shuffle_once(stored):
+    text = plan(sr.chrono_split(sr.sequences(stored)))
+    assert exchanges(text) == ["hashpartitioning"]
+
+
 def test_bars_combine_before_the_shuffle(spark):
     text = plan(fx.bars_many(spark, SF))
     assert "SortAggregate" not in text and "partial_min_by" in text

@@ -33,6 +33,23 @@ def test_bars_from_csv(spark, tmp_path):
     assert raw.filter("Open = 'x'").count() == 1
 
 
+def test_a_wrong_header_is_an_error(spark, tmp_path):
+    swapped = HEADER.replace("Open,High", "High,Open")
+    put(tmp_path / "a.csv", "\n".join([swapped, *LINES]))
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_bars(spark, str(tmp_path)).collect()
+
+
+def test_newest_runs_are_folders(spark, tmp_path):
+    for run, age in (("r1", 30), ("r2", 20), ("r3", 10)):
+        for part in ("p=1", "p=2"):
+            put(tmp_path / "runs" / run / part / "f.csv", f"{HEADER}\n{LINES[0].replace('BBCA', run)}", age)
+    paths = files.latest_paths(spark, str(tmp_path / "runs"), 2, ".csv", by="run")
+    assert [os.path.basename(p) for p in paths] == ["r3", "r2"]
+    got = files.latest_files(spark, str(tmp_path / "runs"), 1, ".csv", RAW_BAR, "csv", by="run")
+    assert [r["Ticker"] for r in got.collect()] == ["r3", "r3"]
+
+
 def test_prefix_and_newest_files(spark, tmp_path):
     for name, age in (("old", 50), ("mid", 20), ("new", 1)):
         put(tmp_path / "raw" / f"{name}.csv", f"{HEADER}\n{LINES[0].replace('BBCA', name.upper())}", age)
