@@ -28,7 +28,7 @@ def _profile_sql(source: str, typed: bool) -> str:
         dtype = (NUMBERS.get(c) or {"Date": "date"}.get(c, "string")) if typed else "string"
         stats = (
             f"round(CAST(min({q}) AS DOUBLE), 4), round(CAST(max({q}) AS DOUBLE), 4), round(avg({q}), 4), "
-            f"round(stddev_samp({q}), 4)" if number else "NULL, NULL, NULL, NULL"
+            f"round(stddev_samp({q}), 4)" if number else ", ".join(["CAST(NULL AS DOUBLE)"] * 4)
         )
         bad = f"count(*) FILTER ({q} IS NOT NULL AND TRY_CAST({q} AS DOUBLE) IS NULL)"
         errors = f"{bad}, round({bad} * 100.0 / greatest(count(*), 1), 2)" if c in MUST_BE_NUMERIC else "NULL, NULL"
@@ -61,7 +61,7 @@ def dq_profile_approx(spark, sf):
 
 
 @query("dq_numeric_stats", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", round(CAST(min({c}) AS DOUBLE), 4) AS \"min\", "
+    f"SELECT '{c}' AS \"column\", round(CAST(min({c}) AS DOUBLE), 4) + 0.0 AS \"min\", "
     f"round(CAST(max({c}) AS DOUBLE), 4) AS \"max\", round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std "
     "FROM lineitem" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")))
 def dq_numeric_stats(spark, sf):

@@ -79,7 +79,7 @@ def prediction_backfill(spark, sf):
 
 @query("batch_score", with_tables("features", body=f"""
     SELECT "Ticker", "Date", "Close", round("RSI", 6) AS "RSI", {_COMPLETE} AS scored,
-           CASE WHEN {_COMPLETE} THEN 0.0 END AS off FROM features
+           CASE WHEN {_COMPLETE} THEN CAST(0 AS DOUBLE) END AS off FROM features
     WHERE "Returns_1d" IS NOT NULL AND "Volatility_5d" IS NOT NULL"""))
 def batch_score(spark, sf):
     """Newest model, newest feature runs, newest copy of each row, enriched and stored.

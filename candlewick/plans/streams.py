@@ -155,7 +155,7 @@ def stream_file_count(spark, sf):
 
 
 @query("stream_predict_features", with_tables("ticks", body="""
-    SELECT event_id, ticker, 0.0 AS "Returns_1d", 50.0 AS "RSI",
+    SELECT event_id, ticker, CAST(0 AS DOUBLE) AS "Returns_1d", CAST(50 AS DOUBLE) AS "RSI",
            round((high - low) / greatest(coalesce(open, 1), 0.01), 6) AS "Price_Range_Pct",
            round(close / greatest(coalesce(open, 1), 0.01), 6) AS "Close_Open_Ratio",
            CAST(volume AS DOUBLE) AS "Volume", event_id % 5 AS cluster,

@@ -24,7 +24,10 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 9) + 0.0
+        if math.isnan(value):
+            return "nan"
+        # The sign of zero counts, as it does for a value hash.
+        return ("-0",) if value == 0 and math.copysign(1, value) < 0 else round(value, 9)
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None)
     return value
@@ -35,6 +38,19 @@ def _bag(rows, columns):
     return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+# Column types that the two engines name differently.
+TYPES = {
+    "string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def type_difference(df, con, sql) -> list:
+    """Columns whose types do not agree."""
+    other = {name: kind for name, kind, *_ in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [(c, t, other.get(c)) for c, t in df.dtypes if TYPES.get(t) != other.get(c)]
+
+
 def difference(df, con, sql) -> str | None:
     """None where columns and rows agree, else what differs."""
     got = df.collect()
@@ -47,4 +63,5 @@ def difference(df, con, sql) -> str | None:
     if left == right:
         return None
     extra, missing = list((left - right).items())[:2], list((right - left).items())[:2]
-    return f"{len(got)} vs {len(wanted)} rows, {sum((left - right).values())} differ; only here {extra}; only in SQL {missing}"
+    counts = f"{len(got)} vs {len(wanted)} rows, {sum((left - right).values())} differ"
+    return f"{counts}; only here {extra}; only in SQL {missing}"
