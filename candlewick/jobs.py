@@ -142,7 +142,9 @@ def mask(spark: SparkSession, people: str, out: str) -> None:
 def export_logs(spark: SparkSession, documents: str, text_logs: str, out: str, index: str = "pipeline-logs") -> None:
     """Log documents and plain log files as search-bulk text."""
     docs = monitor.normalize_docs(files.read_text_docs(spark, documents))
-    texts = monitor.normalize_text_logs(files.read_text_docs(spark, text_logs, "*.log"))
+    texts = monitor.normalize_text_logs(
+        files.read_text_heads(spark, text_logs, monitor.MESSAGE_LENGTH, "*.log")
+    )
     logs = docs.unionByName(texts, allowMissingColumns=True)
     sinks.write_text(sinks.to_bulk_ndjson(logs, index, F.sha2("source_file", 256)), out)
 

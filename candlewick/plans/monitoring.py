@@ -12,7 +12,7 @@ from candlewick.plans import fixtures as fx
 from candlewick.plans.fixtures import with_tables
 from candlewick.plans.registry import query, rounded
 from candlewick.session import scratch_path
-from candlewick.sources.files import read_text_docs
+from candlewick.sources.files import read_text_heads
 
 
 def _documents(spark, sf):
@@ -66,7 +66,7 @@ def normalize_text_logs(spark, sf):
     )
     path = scratch_path(spark, "textlogs")
     lines.write.partitionBy("area").text(path)
-    docs = read_text_docs(spark, path).withColumn(
+    docs = read_text_heads(spark, path, monitor.MESSAGE_LENGTH).withColumn(
         "source_file", F.regexp_extract("source_file", r"area=[^/]+", 0)
     )
     return monitor.normalize_text_logs(docs).drop("@timestamp")

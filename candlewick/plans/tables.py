@@ -36,7 +36,7 @@ def scan_bars_csv(spark, sf):
 
 
 @query("scan_multi_with_source", with_tables("bars", body="""
-    SELECT year("Date") AS year, CAST("Date" AS VARCHAR) AS "Date", "Ticker", CAST("Volume" AS VARCHAR) AS "Volume"
+    SELECT CAST(year("Date") AS INTEGER) AS year, CAST("Date" AS VARCHAR) AS "Date", "Ticker", CAST("Volume" AS VARCHAR) AS "Volume"
     FROM bars"""))
 def scan_multi_with_source(spark, sf):
     path = scratch_path(spark, "bars-by-year")

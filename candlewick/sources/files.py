@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -132,6 +132,42 @@ def read_text_docs(spark: SparkSession, path: str | Sequence[str], glob: str | N
     )
 
 
+def read_text_heads(
+    spark: SparkSession, path: str | Sequence[str], length: int, glob: str | None = None
+) -> DataFrame:
+    """First ``length`` characters of every file, as (content, source_file, modified).
+
+    Files are read by line and may be split, so a log of any size is fine; at most ``length`` lines
+    of each leave the scan. Empty files give no row, as in every Spark file source.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    start = F.col("_metadata.file_block_start")
+    # A character takes up to four bytes: later blocks cannot hold one of the first.
+    lines = reader.text(path if isinstance(path, str) else list(path)).filter(start < 4 * length)
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_size").alias("_size"),
+        start.alias("_start"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.substring("value", 1, length).alias("_head"), F.octet_length("value").alias("_bytes"),
+    )
+    order = Window.partitionBy("source_file").orderBy("_start", "_row")
+    lines = lines.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= length)
+    found = lines.groupBy("source_file").agg(
+        F.max("modified").alias("modified"),
+        F.max("_size").alias("_size"),
+        (F.sum("_bytes") + F.count("_bytes") - 1).alias("_read"),
+        F.sort_array(F.collect_list(F.struct("_rank", "_head"))).alias("_lines"),
+    )
+    text = F.array_join(F.transform("_lines", lambda s: s["_head"]), "\n")
+    # What the file holds beyond the lines read starts with a line end.
+    whole = F.when(F.col("_read") < F.col("_size"), F.concat(text, F.lit("\n"))).otherwise(text)
+    return found.select(F.substring(whole, 1, length).alias("content"), "source_file", "modified")
+
+
 def file_inventory(spark: SparkSession, root: str, prefixes: Sequence[str] = ()) -> DataFrame:
     """Per prefix (first folder or file name below ``root``): files, size in KB, newest change."""
     files = list_files(spark, root)

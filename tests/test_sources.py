@@ -108,6 +108,24 @@ def test_log_documents(spark, tmp_path):
     assert d["severity"] == "INFO" and json.loads(d["message"]) == {"severity": "", "rows": 3}
 
 
+@pytest.mark.parametrize("block", ["128m", "64"])
+def test_heads_of_text_files(spark, tmp_path, block):
+    texts = {
+        "end": "\n", "short": "one\n", "open": "one\ntwo", "blank": "\n\n\nx\n",
+        "long": "".join(f"line {i} é\n" for i in range(4000)), "wide": "w" * 9000, "windows": "a\r\nb\r\n",
+        "exact": "y" * 49 + "\n" + "z" * 10,
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.log").write_bytes(text.encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        rows = files.read_text_heads(spark, str(tmp_path), 50).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = {os.path.basename(r["source_file"])[:-4]: r["content"] for r in rows}
+    assert got == {name: text[:50] for name, text in texts.items()}
+
+
 def test_text_logs_by_path(spark, tmp_path):
     for area in ("batch", "streaming", "ml", "misc"):
         put(tmp_path / "logs" / area / "run.log", f"line of {area}")
