@@ -12,8 +12,13 @@ from candlewick.functions.scalar import as_column, bands
 HIDDEN = "****"
 
 
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def _words(text: Column) -> Column:
-    return F.split(F.trim(text), r"\s+")
+    """Words between any white space, also beyond ASCII."""
+    return F.split(_stripped(text), r"(?U)\s+")
 
 
 def valid_email(email: Column | str) -> Column:
@@ -47,7 +52,7 @@ def mask_phone(phone: Column | str) -> Column:
 def mask_address(address: Column | str) -> Column:
     """Hides the middle of the street; what follows the first comma is kept with its spaces."""
     parts = F.split(as_column(address), ",", -1)
-    street = F.trim(parts[0])
+    street = _stripped(parts[0])
     words = _words(street)
     hidden = F.when(
         F.size(words) >= 2, F.concat(words[0], F.lit(" ***** "), F.element_at(words, -1))
