@@ -2,7 +2,7 @@
 
 Each job reads and writes folders that all executors can reach:
 
-    spark-submit -m candlewick.jobs etl --raw s3a://lake/raw --out s3a://lake/etl
+    python -m candlewick.jobs etl --raw s3a://lake/raw --out s3a://lake/etl
 
 A job is lazy up to its sinks and brings nothing larger than a model card to the driver.
 """
