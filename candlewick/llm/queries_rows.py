@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import chat, pii, quality
+from candlewick.llm import chat, html, pii, quality
 from candlewick.llm.registry import query, table
 
 _BASE_NAMES = "'email', 'ip', 'card', 'phone'"
 
 
+@query("op5_main_text")
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    extracted = pages.select("page_id", "url", html.extract(F.col("html")).alias("text"))
+    return extracted.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op6_personal_data")
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(table(spark, folder, "documents").select("doc_id", "text"))

@@ -6,12 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe
+from candlewick.llm import bpe, planes
 from candlewick.llm.registry import query, table
+from candlewick.session import scratch_path
 
+TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+@query("op1_bit_planes")
+def bit_planes(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-planes")
+    planes.write_ids(table(spark, folder, "documents"), path, public_tokenizers.path(TOKENIZER))
+    return planes.read_digests(spark, path).withColumnRenamed("id", "doc_id")
+
+
 @query("op2_byte_bpe")
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     coder = bpe.ByteBpe(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
