@@ -19,16 +19,17 @@ from __future__ import annotations
 import base64
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 #: Parts of texts whose ids a worker keeps.
-CACHED_PARTS = 500_000
+CACHED_PARTS = 250_000
 
 #: Bytes of text that are encoded, or ids decoded, at a time.
 PIECE_BYTES = 4_000_000
@@ -177,36 +178,52 @@ def _slices(values: pa.Array) -> Iterator[pa.Array]:
 
 
 class ByteBpe:
-    """Column functions of one vocabulary. The model (about the size of its rank file) is broadcast."""
+    """Adds columns by one vocabulary. The model (about the size of its rank file) is broadcast.
+
+    Rows pass through in slices of a few MB, so a worker holds little more than the model and its
+    memory of parts. A column that has the result's name is replaced.
+    """
 
     def __init__(self, spark: SparkSession, ranks_path: str, pattern: str) -> None:
         self._model = spark.sparkContext.broadcast(serialize_model(read_ranks(ranks_path)))
         self._pattern = pattern
 
-    def encode(self, text: Column) -> Column:
-        """Binary: the ids as little-endian unsigned 32-bit integers."""
+    def _added(self, rows: DataFrame, source: str, make: Callable[[Encoder, pa.Array], list], names: list[str]) -> DataFrame:
         model, pattern = self._model, self._pattern
+        kept = [name for name in rows.columns if name not in names or name == source]
 
-        @F.arrow_udf("binary")
-        def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encoder = _encoder(model.value, pattern)
-            for texts in batches:
-                out = [x for part in _slices(texts) for x in encoder.encode([t or "" for t in part.to_pylist()])]
-                yield pa.array(out, pa.binary())
-
-        return encoded(text)
-
-    def decode(self, ids: Column) -> Column:
-        """Binary: the bytes of the text."""
-        model, pattern = self._model, self._pattern
-
-        @F.arrow_udf("binary")
-        def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            encoder = _encoder(model.value, pattern)
-            for packed in batches:
-                yield pa.array([None if x is None else encoder.decode(x) for x in packed.to_pylist()], pa.binary())
-
-        return decoded(ids)
+            for batch in batches:
+                start = 0
+                for part in _slices(batch.column(source)):
+                    columns = [batch.column(name).slice(start, len(part)) for name in kept]
+                    new = [pa.array(x, pa.binary()) for x in make(encoder, part)]
+                    yield pa.RecordBatch.from_arrays(columns + new, kept + names)
+                    start += len(part)
+
+        fields = [rows.schema[name] for name in kept] + [StructField(name, BinaryType()) for name in names]
+        return rows.select(*[F.col(f"`{name}`") for name in kept]).mapInArrow(add, StructType(fields))
+
+    def encode(self, rows: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
+        """Adds binary ``ids``: little-endian unsigned 32-bit integers."""
+        return self._added(rows, text, lambda coder, x: [coder.encode([t or "" for t in x.to_pylist()])], [ids])
+
+    def decode(self, rows: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+        """Adds binary ``decoded``: the bytes of the text."""
+        back = lambda coder, x: [[None if i is None else coder.decode(i) for i in x.to_pylist()]]
+        return self._added(rows, ids, back, [decoded])
+
+    def encode_and_decode(
+        self, rows: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+    ) -> DataFrame:
+        """Both in one pass over the rows."""
+
+        def both(coder: Encoder, texts: pa.Array) -> list[list[bytes]]:
+            encoded = coder.encode([t or "" for t in texts.to_pylist()])
+            return [encoded, [coder.decode(x) for x in encoded]]
+
+        return self._added(rows, text, both, [ids, decoded])
 
 
 def token_count(ids: Column) -> Column:

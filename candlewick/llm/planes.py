@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 BLOCK_IDS = 1 << 18
 
 #: Parts of texts whose ids a worker keeps, and bytes of text encoded at a time (both for speed only).
-CACHED_PARTS = 400_000
+CACHED_PARTS = 300_000
 PIECE_BYTES = 4_000_000
 
 

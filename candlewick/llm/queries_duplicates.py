@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import substrings
+from candlewick.llm import lines, substrings
 from candlewick.llm.registry import query, table
 
 _SUBSTRINGS_SQL = r"""
@@ -34,3 +34,14 @@ FROM docs LEFT JOIN kept USING (row_id)
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     parsed = substrings.remove_duplicates(table(spark, folder, "documents"))
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+@query("op10_fuzzy_lines")
+def fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cleaned = lines.remove_duplicate_lines(docs)
+    return cleaned.select(
+        "doc_id",
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)) + F.col("n_removed_lines")).cast("long").alias("n_lines"),
+        "n_removed_lines",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )

@@ -25,9 +25,7 @@ def bit_planes(spark: SparkSession, folder: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     coder = bpe.ByteBpe(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = docs.select("doc_id", coder.encode(F.col("text")).alias("ids"))
-    decoded = encoded.withColumn("decoded", coder.decode(F.col("ids")))
-    return decoded.select(
+    return coder.encode_and_decode(docs).select(
         "doc_id",
         bpe.token_count(F.col("ids")).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
