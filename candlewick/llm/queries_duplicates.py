@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import lines, substrings
+from candlewick.llm import contamination, lines, substrings
 from candlewick.llm.registry import query, table
 
 _SUBSTRINGS_SQL = r"""
@@ -45,3 +45,20 @@ def fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
         "n_removed_lines",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+@query("op9_benchmark_leaks")
+def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = contamination.leaks(docs, table(spark, folder, "benchmark"))
+    lists = found.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(
+        F.array_sort(F.collect_set("item")).alias("item_ids"), F.max("n_words").alias("n_words")
+    )
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
+    return marked.join(lists, same, "left").select(
+        "doc_id",
+        F.col("_id").isNotNull().alias("leaked"),
+        F.coalesce("item_ids", F.expr("cast(array() as array<bigint>)")).alias("item_ids"),
+        F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
+    )
