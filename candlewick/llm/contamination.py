@@ -276,6 +276,13 @@ def leaks(
     return judged.where(enough & (F.col("run.covered") > 0)).select("id", "mark", "item", F.col("run.covered").alias("n_words"))
 
 
+def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **settings: object) -> DataFrame:
+    """All rows and columns of the documents that leak no item."""
+    found = leaks(docs, items, key, text, **settings).select(F.col("id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    same = F.col(f"`{key}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_mark"))
+    return docs.join(found, same, "left_anti")
+
+
 def with_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **settings: object) -> DataFrame:
     """All rows and columns, plus ``leaked``: an array of (item, n_words) by item, empty for clean documents."""
     found = leaks(docs, items, key, text, **settings).groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(

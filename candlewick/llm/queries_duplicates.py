@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import contamination, lines, substrings
+from candlewick.llm import contamination, jaccard, lines, substrings
 from candlewick.llm.registry import query, table
 
 _SUBSTRINGS_SQL = r"""
@@ -62,3 +62,34 @@ def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("item_ids", F.expr("cast(array() as array<bigint>)")).alias("item_ids"),
         F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
     )
+
+
+_JACCARD_SQL = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS gram
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM grams a JOIN grams b USING (gram) JOIN sizes sa ON sa.doc_id = a.doc_id JOIN sizes sb ON sb.doc_id = b.doc_id
+    WHERE a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(sa.n) + any_value(sb.n) - count(*))
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM docs
+    UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+)
+SELECT docs.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM docs LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) USING (doc_id)
+"""
+
+
+@query("op3_ngram_jaccard", _JACCARD_SQL)
+def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = jaccard.similar_groups(docs, n=4, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
