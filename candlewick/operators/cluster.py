@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +25,14 @@ from candlewick.schemas import CLUSTER_FEATURES
 from candlewick.session import cut_lineage
 
 
+#: Restarts of a training that run at the same time.
+AT_ONCE = 5
+
+#: How far a trained centre may lie from the mean of its rows, in standard deviations: training stops
+#: when no centre moves by more than a hundredth.
+SETTLED = 0.02
+
+
 def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     return drop_incomplete(doubles, columns)
@@ -43,9 +55,16 @@ def _scaled(df: DataFrame, columns: Sequence[str]):
 
 
 def _best_fit(vectors: DataFrame, k: int, restarts: int, seed: int):
+    """The restarts run a few at a time: each is a chain of small jobs that leaves most tasks idle."""
+
+    def fit(i: int):
+        return KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="prediction").fit(vectors)
+
+    vectors.count()  # fills the cache once, not in every restart
+    with ThreadPool(min(restarts, AT_ONCE)) as pool:
+        fits = pool.map(fit, range(restarts))
     best = None
-    for i in range(restarts):
-        fit = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="prediction").fit(vectors)
+    for fit in fits:
         # Costs of equal solutions differ in the last bits from run to run; the first one is kept.
         if best is None or fit.summary.trainingCost < best.summary.trainingCost * (1 - 1e-9):
             best = fit
@@ -114,6 +133,34 @@ def sweep(
     return df.sparkSession.createDataFrame(rows, layout)
 
 
+def audit_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """What must hold for any trained model, one row per cluster that has rows.
+
+    ``n`` rows, ``n_misplaced`` of them nearer to another centre, ``off_mean`` the largest distance on
+    one axis between the centre and the mean of its rows, ``cost`` the summed squared distances.
+    """
+    columns = list(model.stages[0].getInputCols())
+    centers = [[float(x) for x in c] for c in model.stages[2].clusterCenters()]
+    scored = model.transform(_complete(df, columns)).select(
+        F.col("prediction").alias("cluster"), vector_to_array("features").alias("x")
+    )
+
+    def distance(center: list[float]):
+        squares = [(F.col("x")[i] - F.lit(value)) * (F.col("x")[i] - F.lit(value)) for i, value in enumerate(center)]
+        return reduce(operator.add, squares)
+
+    measured = scored.withColumn("d", F.array(*[distance(c) for c in centers]))
+    mine = F.get("d", F.col("cluster"))
+    per_axis = [F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(len(columns))]
+    rows = measured.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(mine > F.array_min("d") + 1e-9).alias("n_misplaced"),
+        F.sum(mine).alias("cost"), *per_axis,
+    )
+    of = F.get(F.array(*[F.array(*map(F.lit, c)) for c in centers]), F.col("cluster"))
+    off = F.greatest(*[F.abs(F.col(f"m{i}") - of[i]) for i in range(len(columns))], F.lit(0.0))
+    return rows.select("cluster", "n", "n_misplaced", off.alias("off_mean"), "cost")
+
+
 def predict_into(df: DataFrame, model: PipelineModel, target: str = "Cluster") -> DataFrame:
     """Adds the cluster of every complete row; rows with a missing feature stay, with null.
 
@@ -168,7 +215,7 @@ def score_batch(
     scored = predict_into(rows, model)
     if order is not None:
         scored = relabel(scored, order)
-    return enrich_with_cluster_means(cut_lineage(scored), n_groups=model.stages[2].getK())
+    return enrich_with_cluster_means(cut_lineage(scored))
 
 
 def series_analysis(df: DataFrame, key: str = "Ticker", ts: str = "Date", last: int = 5) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Row filters. All of them are plain predicates, so they reach the file scan."""
+"""Row filters. Comparisons of plain columns reach the file scan; those of computed symbols do not."""
 
 from __future__ import annotations
 
@@ -12,11 +12,20 @@ from candlewick.functions.scalar import finite, normalize_symbol
 
 
 def filter_symbol(df: DataFrame, pattern: str, column: str = "Ticker") -> DataFrame:
-    """Rows whose canonical symbol contains the canonical pattern; null symbols never match."""
+    """Rows whose canonical symbol contains the canonical pattern; null symbols never match.
+
+    The symbol is computed per row, so every row is read. ``filter_whole_symbol`` is pushed down.
+    """
     bare = pattern.replace(".JK", "").replace("^", "")
     return df.filter(normalize_symbol(column).contains(bare))
 
 
+def filter_whole_symbol(df: DataFrame, symbol: str, column: str = "Ticker") -> DataFrame:
+    """Rows of one symbol in any of its stored spellings: an IN list that the file scan evaluates."""
+    bare = symbol.replace(".JK", "").replace("^", "")
+    return df.filter(F.col(column).isin(bare, f"{bare}.JK", f"^{bare}"))
+
+
 def filter_symbols(df: DataFrame, symbols: Iterable[str] | DataFrame, column: str = "Ticker") -> DataFrame:
     """Rows of a chosen set: an IN list for a few values, a semi join for a table of them."""
     if isinstance(symbols, DataFrame):

@@ -1,7 +1,7 @@
 """Operators that bring two sides together.
 
-Only a side whose row count is bounded by construction gets a broadcast hint. All other joins carry
-no hint: Spark broadcasts a side only after its size is known, and splits skewed partitions otherwise.
+No join carries a hint: Spark broadcasts a side only after its size is known, and splits skewed
+partitions otherwise.
 """
 
 from __future__ import annotations
@@ -13,34 +13,23 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.scalar import symbol_name
 
-# Most group rows that may be sent to every executor.
-BROADCAST_GROUPS = 10_000
 
-
-def with_group_means(
-    df: DataFrame, key: str, columns: Mapping[str, str], n_groups: int | None = None
-) -> DataFrame:
+def with_group_means(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
     """Adds to each row the means of its group: ``columns`` maps source column to new column.
 
-    Rows without a group get null. When the key is a number from 0 to ``n_groups - 1`` the aggregate
-    is held to that range, which proves its size, and it is broadcast: the rows do not move.
-    Without that, Spark decides from the size it measures.
+    Every key is a group, whatever its value; rows with a null key get null. The means are joined
+    without a hint: Spark broadcasts them if it measures that they are small.
     """
-    known = df.filter(F.col(key).isNotNull())
-    bounded = n_groups is not None and n_groups <= BROADCAST_GROUPS
-    if bounded:
-        known = known.filter((F.col(key) >= 0) & (F.col(key) < n_groups) & (F.col(key) == F.floor(key)))
-    means = known.groupBy(F.col(key).alias("_group")).agg(
+    means = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_group")).agg(
         *[F.avg(source).alias(target) for source, target in columns.items()]
     )
-    side = F.broadcast(means) if bounded else means
-    return df.join(side, F.col(key) == F.col("_group"), "left").drop("_group")
+    return df.join(means, F.col(key) == F.col("_group"), "left").drop("_group")
 
 
-def enrich_with_cluster_means(df: DataFrame, n_groups: int | None = None) -> DataFrame:
+def enrich_with_cluster_means(df: DataFrame) -> DataFrame:
     """Mean Close and Volatility_5d of each row's cluster, and the distance of Close from it."""
     wanted = {"Close": "Cluster_Avg_Close", "Volatility_5d": "Cluster_Avg_Volatility"}
-    rows = with_group_means(df, "Cluster", wanted, n_groups)
+    rows = with_group_means(df, "Cluster", wanted)
     return rows.withColumn("Price_vs_Cluster", F.col("Close") - F.col("Cluster_Avg_Close"))
 
 
@@ -66,14 +55,15 @@ def inhibit(
 ) -> DataFrame:
     """Drops ``target`` alerts while a ``source`` alert with the same labels is firing.
 
-    ``alerts`` holds firing alerts only; every other row passes.
+    ``alerts`` holds firing alerts only; every other row passes, and only target rows are shuffled.
     """
     suppressing = (
         alerts.filter(F.col("severity") == source)
         .select(*[F.col(c).alias(f"_s_{c}") for c in equal])
         .distinct()
     )
-    same = F.col("severity").eqNullSafe(F.lit(target))
+    same = F.lit(True)
     for c in equal:
         same = same & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-    return alerts.join(suppressing, same, "left_anti")
+    is_target = F.col("severity").eqNullSafe(F.lit(target))
+    return alerts.filter(is_target).join(suppressing, same, "left_anti").unionByName(alerts.filter(~is_target))

@@ -39,11 +39,14 @@ def latest_per_key(
     key: str = "Ticker",
     ts: str = "Date",
     columns: Sequence[str] = ("Open", "High", "Low", "Close", "Volume"),
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Last non-null value of every column per entity, with the change from Open to Close."""
-    newest = [
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in columns
-    ]
+    """Last non-null value of every column per entity, with the change from Open to Close.
+
+    Rows of one time are told apart by the ``ties`` columns, largest last; without them any may win.
+    """
+    last = F.struct(ts, *ties) if ties else F.col(ts)
+    newest = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), last)).alias(c) for c in columns]
     out = df.groupBy(key).agg(F.max(ts).alias(ts), *newest)
     if "Open" in columns and "Close" in columns:
         change = F.col("Close") - F.col("Open")
@@ -99,7 +102,7 @@ def last_point(
     by: Sequence[str] = ("measurement", "field"),
     order: Column | None = None,
 ) -> DataFrame:
-    """Newest point per series; ``order`` breaks ties in time."""
+    """Newest point per series. Give an ``order`` that is unique in a series: of equal ones any may win."""
     rank = order if order is not None else as_column(ts)
     return points.groupBy(*by).agg(
         F.max_by(F.col("value"), rank).alias("value"), F.max(ts).alias("ts")
@@ -107,13 +110,14 @@ def last_point(
 
 
 def pivot_metrics(
-    points: DataFrame, fields: Sequence[str], row_key: Sequence[str] = ("ts",), order: str | None = None
+    points: DataFrame, fields: Sequence[str], row_key: Sequence[str] = ("ts",), *, order: str
 ) -> DataFrame:
     """Long to wide: one row per row key, one column per field.
 
-    The fields are given, so no extra job has to find them. ``order`` picks the last of several values.
+    The fields are given, so no extra job has to find them. Of several values in a cell, the one with
+    the largest ``order`` is taken.
     """
-    chosen = F.max_by("value", order) if order else F.max("value")
+    chosen = F.max_by("value", order)
     return points.groupBy(*row_key).pivot("field", list(fields)).agg(chosen)
 
 

@@ -97,7 +97,7 @@ def last_value_metric(spark, sf):
     SELECT measurement, ts, max(CASE WHEN field = 'k' THEN value END) AS k,
            max(CASE WHEN field = 'value' THEN value END) AS value FROM metrics GROUP BY 1, 2"""))
 def metric_pivot(spark, sf):
-    return summary.pivot_metrics(fx.metrics(spark, sf), ["k", "value"], ["measurement", "ts"])
+    return summary.pivot_metrics(fx.metrics(spark, sf), ["k", "value"], ["measurement", "ts"], order="ts")
 
 
 @query("mean_return", with_tables("features", body="""
@@ -119,7 +119,7 @@ def alert_grouping(spark, sf):
     FROM clusters LEFT JOIN (SELECT "Cluster" AS c, avg("Close") AS m, avg("Volatility_5d") AS v FROM clusters
                              WHERE "Cluster" IS NOT NULL GROUP BY 1) ON "Cluster" = c"""))
 def cluster_mean_lookup(spark, sf):
-    df = joins.enrich_with_cluster_means(fx.clusters(spark, sf), n_groups=4)
+    df = joins.enrich_with_cluster_means(fx.clusters(spark, sf))
     return rounded(df.select(
         "Ticker", "Date", "Close", "Cluster", F.round("Cluster_Avg_Close", 4).alias("Cluster_Avg_Close"),
         F.round("Cluster_Avg_Volatility", 4).alias("Cluster_Avg_Volatility"),

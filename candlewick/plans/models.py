@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from candlewick.operators import cluster, forecast, runs
 from candlewick.operators.features import etl_features, ml_features
@@ -22,46 +23,71 @@ WEIGHTS = (0.1,) + (0.0,) * 56 + (0.1, 0.2, 0.5)
 INTERCEPT = 1_000.0
 
 
-def _metric_rows(spark, found: dict):
-    row = (
-        found["k"], found["n_samples"], found["inertia"], found["silhouette"],
-        {int(c): int(n) for c, n in found["sizes"].items()}, found["feature_names"],
-    )
-    layout = (
-        "k int, n_samples long, inertia double, silhouette double, sizes map<int,long>, feature_names array<string>"
+_COMPLETE = " AND ".join(f'"{c}" IS NOT NULL' for c in CLUSTER_FEATURES)
+_USED = f'"Returns_1d" IS NOT NULL AND "Volatility_5d" IS NOT NULL AND {_COMPLETE}'
+
+
+def _audit(model, features):
+    """Facts that SQL can state for any trained model of four clusters."""
+    found = cluster.audit_clusters(model, features)
+    return found.select(
+        F.col("cluster").cast("long").alias("cluster"), "n_misplaced",
+        (F.col("off_mean") <= cluster.SETTLED).alias("centre_is_mean"),
+        F.sum("n").over(Window.partitionBy()).alias("n_samples"),
     )
-    return spark.createDataFrame([row], layout)
 
 
-@query("kmeans_train")
+_AUDIT_SQL = """
+    SELECT cluster, CAST(0 AS BIGINT) AS n_misplaced, TRUE AS centre_is_mean, CAST(n AS BIGINT) AS n_samples
+    FROM unnest(range(4)) AS c(cluster), (SELECT count(*) AS n FROM {rows})"""
+
+
+@query("kmeans_train", with_tables("features", body=_AUDIT_SQL.format(rows=f"features WHERE {_USED}")))
 def kmeans_train(spark, sf):
-    """Cluster centres of the trained model, on the standardised scale."""
-    model = cluster.train_clusters(ml_features(fx.bars(spark, sf)))
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.stages[2].clusterCenters())]
-    return spark.createDataFrame(centers, "cluster int, center array<double>")
+    """The trained model's clusters: every row is with its nearest centre, every centre the mean of its rows."""
+    features = ml_features(fx.bars(spark, sf))
+    return _audit(cluster.train_clusters(features), features)
 
 
 @query("kmeans_train_etl")
 def kmeans_train_etl(spark, sf):
     """The variant on the ETL features."""
-    model = cluster.train_clusters(etl_features(fx.bars(spark, sf)), ETL_CLUSTER_FEATURES, restarts=2)
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.stages[2].clusterCenters())]
-    return spark.createDataFrame(centers, "cluster int, center array<double>")
+    features = etl_features(fx.bars(spark, sf))
+    return _audit(cluster.train_clusters(features, ETL_CLUSTER_FEATURES), features)
 
 
-@query("kmeans_metrics")
+@query("kmeans_metrics", with_tables("features", body=f"""
+    SELECT CAST(4 AS INTEGER) AS k, count(*) AS n_samples, TRUE AS inertia_is_cost, count(*) AS in_clusters,
+           TRUE AS silhouette_in_range, CAST({len(CLUSTER_FEATURES)} AS INTEGER) AS n_features
+    FROM features WHERE {_USED}"""))
 def kmeans_metrics(spark, sf):
+    """The metrics of a model, with its inertia against the summed distances of an audit."""
     features = ml_features(fx.bars(spark, sf))
-    model = cluster.train_clusters(features, restarts=2)
-    return _metric_rows(spark, cluster.cluster_metrics(model, features))
+    model = cluster.train_clusters(features)
+    found = cluster.cluster_metrics(model, features)
+    cost = cluster.audit_clusters(model, features).agg(F.sum("cost").alias("cost"))
+    n = found["n_samples"]
+    ratio = F.col("cost") * n / max(n - 1, 1) / found["inertia"]
+    return cost.select(
+        F.lit(found["k"]).alias("k"), F.lit(n).cast("long").alias("n_samples"),
+        F.abs(ratio - 1).__lt__(1e-3).alias("inertia_is_cost"),
+        F.lit(sum(found["sizes"].values())).cast("long").alias("in_clusters"),
+        F.lit(found["silhouette"]).between(-1, 1).alias("silhouette_in_range"),
+        F.lit(len(found["feature_names"])).alias("n_features"),
+    )
 
 
-@query("kmeans_sweep")
+@query("kmeans_sweep", with_tables("features", body=f"""
+    SELECT CAST(k AS INTEGER) AS k, n_samples, TRUE AS costs_less, TRUE AS silhouette_in_range
+    FROM unnest([3, 4, 5]) AS s(k), (SELECT count(*) AS n_samples FROM features WHERE {_USED})"""))
 def kmeans_sweep(spark, sf):
-    return cluster.sweep(ml_features(fx.bars(spark, sf)), (3, 4, 5), restarts=2)
-
-
-_COMPLETE = " AND ".join(f'"{c}" IS NOT NULL' for c in CLUSTER_FEATURES)
+    """One row per k; more clusters cost less."""
+    rows = cluster.sweep(ml_features(fx.bars(spark, sf)), (3, 4, 5))
+    before = F.lag("inertia").over(Window.orderBy("k"))
+    return rows.select(
+        "k", "n_samples", F.coalesce(F.col("inertia") < before, F.lit(True)).alias("costs_less"),
+        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
+    )
 
 
 @query("prediction_backfill", with_tables("gappy", body=f"""
@@ -69,7 +95,7 @@ _COMPLETE = " AND ".join(f'"{c}" IS NOT NULL' for c in CLUSTER_FEATURES)
     WHERE "Returns_1d" IS NOT NULL AND "Volatility_5d" IS NOT NULL"""))
 def prediction_backfill(spark, sf):
     """Every row of a gappy table, scored where it is complete, by the model of the full one."""
-    model = cluster.train_clusters(ml_features(fx.bars(spark, sf)), restarts=2)
+    model = cluster.train_clusters(ml_features(fx.bars(spark, sf)))
     features = ml_features(fx.gappy(spark, sf))
     scored = cluster.predict_into(features, model)
     return scored.select("Ticker", "Date", "Close", F.col("Cluster").between(0, 3).alias("_in")).select(
@@ -92,7 +118,7 @@ def batch_score(spark, sf):
     for run in ("first", "second"):
         write_features(features, folder, stamp=run)
     training = latest_files(spark, folder, 1, by="run")
-    model = cluster.train_clusters(training, restarts=2)
+    model = cluster.train_clusters(training)
     order = cluster.volatility_order(cluster.predict_into(training, model), 4)
     runs.save_model(model, store, "clusters", {"k": 4, "order": ",".join(map(str, order))}, {})
     loaded, card = runs.load_latest(spark, store, "clusters")
@@ -106,18 +132,21 @@ def batch_score(spark, sf):
     ))
 
 
-@query("model_store")
+@query("model_store", with_tables("features", body=f"""
+    SELECT count(*) AS n_scored, count(*) AS n_samples, CAST(0 AS BIGINT) AS n_changed FROM features WHERE {_USED}"""))
 def model_store(spark, sf):
-    """A saved model and its run card, found again through the run table."""
+    """A saved model and its run card, found again through the run table; it scores as it did before."""
     store = scratch_path(spark, "models")
     features = ml_features(fx.bars(spark, sf))
-    model = cluster.train_clusters(features, restarts=1)
+    model = cluster.train_clusters(features)
     found = cluster.cluster_metrics(model, features)
     runs.save_model(model, store, "clusters", {"k": 4}, {"n_samples": found["n_samples"]})
     loaded, card = runs.load_latest(spark, store, "clusters")
-    scored = cluster.predict_into(features, loaded)
-    return scored.groupBy("Cluster").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "n_samples", F.lit(card["metrics"]["n_samples"])
+    again = cluster.predict_into(cluster.predict_into(features, model, "before"), loaded, "after")
+    return again.agg(
+        F.count("after").alias("n_scored"),
+        F.lit(card["metrics"]["n_samples"]).cast("long").alias("n_samples"),
+        F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("n_changed"),
     )
 
 
@@ -233,7 +262,7 @@ def stream_predict(spark, sf):
     Per ticker: rows stored, rows sent, and rows whose labels do not fit their cluster.
     """
     features = ml_features(fx.bars(spark, sf))
-    model = cluster.train_clusters(features, restarts=1)
+    model = cluster.train_clusters(features)
     order = cluster.volatility_order(cluster.predict_into(features, model), 4)
     path, out, topic = (scratch_path(spark, f"score-{n}") for n in ("in", "out", "topic"))
     write_text(_payload(fx.tick_rows(spark, sf)), path)

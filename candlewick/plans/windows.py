@@ -218,11 +218,11 @@ def sequence_windows(spark, sf):
 
 
 @query("sequence_windows_points", with_tables("points", body=f"""
-    SELECT ticker, ts, event_id, lags[1] AS oldest, lags[12] AS newest, value AS label
-    FROM (SELECT *, list(value) OVER ({_P} ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS lags FROM points)
-    WHERE len(lags) = 12"""))
+    SELECT ticker, ts, event_id, lags[1] AS oldest, lags[60] AS newest, value AS label
+    FROM (SELECT *, list(value) OVER ({_P} ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS lags FROM points)
+    WHERE len(lags) = 60"""))
 def sequence_windows_points(spark, sf):
-    df = sr.sequences(fx.points(spark, sf), "value", 12, POINTS)
+    df = sr.sequences(fx.points(spark, sf), "value", 60, POINTS)
     return df.select(
         "ticker", "ts", "event_id", F.element_at("lags", 1).alias("oldest"),
         F.element_at("lags", -1).alias("newest"), "label",

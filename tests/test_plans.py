@@ -79,16 +79,14 @@ def test_split_series_have_no_window_on_the_entity_alone(spark):
     assert "SortAggregate" not in text
 
 
-def test_cluster_means_do_not_move_the_rows(spark, stored):
+def test_cluster_means_carry_no_hint(spark, stored):
     scored = stored.withColumn("Cluster", F.col("Volume") % 4).withColumn("Volatility_5d", F.lit(0.1))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        bounded = plan(joins.enrich_with_cluster_means(scored, n_groups=4))
-        free = plan(joins.enrich_with_cluster_means(scored))
+        unmeasured = plan(joins.enrich_with_cluster_means(scored))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in bounded
-    assert "BroadcastHashJoin" not in free and "SortMergeJoin" in free
+    assert "BroadcastHashJoin" not in unmeasured and "SortMergeJoin" in unmeasured
 
 
 def test_filters_reach_the_scan(stored):
@@ -97,6 +95,11 @@ def test_filters_reach_the_scan(stored):
     assert "ReadSchema: struct<Ticker:string,Close:double>" in text
 
 
+def test_whole_symbols_reach_the_scan(stored):
+    text = plan(filters.filter_whole_symbol(stored, "^2-HIGH.JK").select("Close"))
+    assert "In(Ticker, [" in text and "2-HIGH.JK" in text
+
+
 def test_time_filter_adds_no_join(spark):
     events = fx.table(spark, SF, "events")
     assert "Join" not in plan(filters.since(events, "ts", "7 days"))

@@ -4,9 +4,9 @@ import pytest
 from compare import connect, difference, type_difference
 
 import __spark_entry__ as entry
+from candlewick.plans import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,8 @@ def test_runs_without_sql(spark, name):
 
 
 def test_every_counterpart_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):

@@ -152,10 +152,18 @@ def test_freshness(spark):
     assert [(r["pipeline"], r["age_seconds"]) for r in out] == [("old", 172_800.0)]
 
 
-def test_group_means_outside_the_range_are_null(spark):
-    df = spark.createDataFrame([(0, 1.0), (0, 3.0), (7, 5.0), (None, 9.0)], "g int, v double")
-    got = {(r["g"], r["v"]): r["m"] for r in joins.with_group_means(df, "g", {"v": "m"}, n_groups=2).collect()}
-    assert got == {(0, 1.0): 2.0, (0, 3.0): 2.0, (7, 5.0): None, (None, 9.0): None}
+def test_every_key_is_a_group(spark):
+    rows = [(0, 1.0), (0, 3.0), (-1, 5.0), (4, 7.0), (20_000, 8.0), (None, 9.0)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {(r["g"], r["v"]): r["m"] for r in joins.with_group_means(df, "g", {"v": "m"}).collect()}
+    assert got == {(0, 1.0): 2.0, (0, 3.0): 2.0, (-1, 5.0): 5.0, (4, 7.0): 7.0, (20_000, 8.0): 8.0, (None, 9.0): None}
+
+
+def test_latest_per_key_with_ties(spark):
+    day = datetime.date(2024, 1, 1)
+    rows = [("A", day, 1, 5.0), ("A", day, 2, 4.0), ("A", day, 3, None)]
+    df = spark.createDataFrame(rows, "Ticker string, Date date, seq int, Close double")
+    assert summary.latest_per_key(df, columns=["Close"], ties=["seq"]).first()["Close"] == 4.0
 
 
 def test_latest_per_key_skips_nulls(spark):
