@@ -13,8 +13,9 @@ sizes leave a pair possible. With t the least similarity and s a set's size:
    behind the part of a set that forms blocks.
 3. In each block, rows meet the block's leader first; the overlap of the whole sets decides. Rows that
    are connected by then need no comparison among themselves. Leaders of other orders follow, and at
-   last all pairs of a block whose sizes fit and which are still in different components: no link that
-   could connect something is left out, and a group of thousands of near copies costs few comparisons.
+   last all pairs of a block that are still in different components and that the bound of the columns
+   before the shared one allows: no link that could connect something is left out, and a group of
+   thousands of near copies costs few comparisons.
 
 Sets are told apart by 64-bit hashes of their n-grams, which are 64-bit hashes as well. Texts with
 fewer than n words have their whole word sequence as the one n-gram; null and word-free texts have an
@@ -130,7 +131,10 @@ def _sets(docs: DataFrame, possible: DataFrame, key: str, text: str, n: int) ->
 
 
 def _blocks(sets: DataFrame, percent: int) -> DataFrame:
-    """Step 2: rows (column, row, size) of the rarest columns of each set that can still link."""
+    """Step 2: rows (column, row, size, at) of the rarest columns of each set that can still link.
+
+    ``at`` is the column's place in the set's order: columns that no other row has come first.
+    """
     entries = _entries(sets, "columns")
     counted = entries.groupBy("column").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     shared = entries.join(counted, "column").groupBy("row").agg(F.collect_list(F.struct("rows", "column")).alias("shared"))
@@ -138,8 +142,8 @@ def _blocks(sets: DataFrame, percent: int) -> DataFrame:
     alone = F.col("size") - F.size("shared")
     fit = shared.join(sets.select("row", "size"), "row").where(F.size("shared") >= least)
     taken = F.slice(F.sort_array("shared"), F.lit(1), (F.col("size") - least + 1 - alone).cast("int"))
-    blocks = fit.select("row", "size", F.explode(taken).alias("entry"))
-    return blocks.select(F.col("entry.column").alias("column"), "row", "size")
+    blocks = fit.select("row", "size", alone.alias("alone"), F.posexplode(taken).alias("place", "entry"))
+    return blocks.select(F.col("entry.column").alias("column"), "row", "size", (F.col("alone") + F.col("place")).alias("at"))
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -167,41 +171,48 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _overlaps(pairs, sets).where(F.col("common") * 100 >= union * percent).select("a", "b")
 
 
-def _sizes_fit(a: str, b: str, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _may_link(percent: int) -> Column:
+    """False where two rows that meet in a block cannot link.
+
+    Seen from the first column that they share, what lies before it in either set is not shared. So
+    a linked pair has a block with ``overlap <= min(size - at, b_size - b_at)``, and other blocks may
+    drop it. Smaller sets than ``t`` times the larger one are refused by the same bound.
+    """
+    most = F.least(F.col("size") - F.col("at"), F.col("b_size") - F.col("b_at"))
+    return most * (100 + percent) >= (F.col("size") + F.col("b_size")) * percent
 
 
 def _connected(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Step 3: rows (node, component)."""
-    links, groups = None, None
+    links = _stored(blocks.limit(0).select(F.col("row").alias("a"), F.col("row").alias("b")), "links")
+    groups = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
     def labelled() -> DataFrame:
-        if groups is None:
-            return blocks.withColumn("component", F.col("row"))
         known = groups.withColumnRenamed("node", "row")
-        return _stored(
-            blocks.join(known, "row", "left").select("column", "row", "size", F.coalesce("component", "row").alias("component")),
-            "labelled",
-        )
+        rows = blocks.join(known, "row", "left")
+        return _stored(rows.select("column", "row", "size", "at", F.coalesce("component", "row").alias("component")), "labelled")
 
     def more(pairs: DataFrame) -> None:
         nonlocal links, groups
-        found = _links(pairs.distinct(), sets, percent)
-        links = _stored(found if links is None else links.union(found), "links")
-        groups = components(links)
+        new = _stored(pairs.distinct(), "pairs")
+        if not new.isEmpty():
+            links = _stored(links.union(_links(new, sets, percent)), "links")
+            groups = components(links)
 
     apart = F.col("component") != F.col("other")
-    for order in (F.col("row"), -F.col("row"), F.xxhash64("row"), F.xxhash64(-F.col("row"))):
+    # The first leader has the fewest columns of its own: of near copies, the one closest to the source.
+    for order in (F.struct("at", "row"), F.struct("row"), F.struct(F.xxhash64("row"))):
         now = labelled()
-        leader = now.groupBy("column").agg(
-            F.min(F.struct(order.alias("order"), F.col("row").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("other"))).alias("l")
+        leader = F.struct(
+            order.alias("order"), F.col("row").alias("b"), F.col("size").alias("b_size"), F.col("at").alias("b_at"),
+            F.col("component").alias("other"),
         )
-        met = now.join(leader.select("column", "l.*"), "column")
-        more(met.where(apart & _sizes_fit("size", "b_size", percent)).select(F.col("row").alias("a"), "b"))
+        leaders = now.groupBy("column").agg(F.min(leader).alias("leader")).select("column", "leader.*")
+        met = now.join(leaders, "column").where(apart & _may_link(percent))
+        more(met.select(F.col("row").alias("a"), "b"))
     now = labelled()
-    left = now.withColumnRenamed("row", "a")
-    right = now.select("column", F.col("row").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("other"))
-    rest = left.join(right, "column").where((F.col("a") < F.col("b")) & apart & _sizes_fit("size", "b_size", percent))
+    other = now.select("column", *[F.col(x).alias(y) for x, y in (("row", "b"), ("size", "b_size"), ("at", "b_at"), ("component", "other"))])
+    rest = now.withColumnRenamed("row", "a").join(other, "column").where((F.col("a") < F.col("b")) & apart & _may_link(percent))
     more(rest.select("a", "b"))
     return groups
 
