@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql.window import Window
 BLOCK_IDS = 1 << 18
 
 #: Parts of texts whose ids a worker keeps, and bytes of text encoded at a time (both for speed only).
-CACHED_PARTS = 300_000
+CACHED_PARTS = 800_000
 PIECE_BYTES = 4_000_000
 
 
@@ -83,8 +84,8 @@ class Tokens:
             return [x + self._end for x in self._whole(texts)]
         cut = [text.split(" ") for text in texts]
         firsts = self._whole([parts[0] for parts in cut])
-        if len(self._parts) > CACHED_PARTS:
-            self._parts.clear()
+        if len(self._parts) > CACHED_PARTS:  # the parts met first are the frequent ones
+            self._parts = dict(islice(self._parts.items(), CACHED_PARTS // 2))
         later = [parts[1:] for parts in cut]
         self._learn(list(set().union(*later).difference(self._parts)), " ")
         known, out = self._parts.__getitem__, []
