@@ -5,9 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from candlewick.operators import cluster, dedup, features, filters, joins, summary
 from candlewick.operators import series as sr
+from candlewick.plans import QUERIES
 from candlewick.plans import fixtures as fx
 from candlewick.sources.catalog import save_bucketed
 
@@ -70,7 +70,7 @@ def test_rank_limit_comes_before_the_shuffle(stored, operator):
 
 
 def test_split_series_have_no_window_on_the_entity_alone(spark):
-    text = plan(entry.queries()["point_features"](spark, SF))
+    text = plan(QUERIES["point_features"](spark, SF))
     for line in text.splitlines():
         # The only such window runs over one summary row per bucket.
         if "Exchange hashpartitioning(ticker" in line and "_b" not in line.split("Exchange")[1]:
@@ -107,7 +107,7 @@ def test_time_filter_adds_no_join(spark):
 
 def test_no_python_and_no_cross_join_in_batch_plans(spark):
     streams_and_models = re.compile(r"stream|kafka|foreach|kmeans|model|batch_score|prediction|lag_regression")
-    for name, run in entry.queries().items():
+    for name, run in QUERIES.items():
         if not streams_and_models.search(name):
             text = plan(run(spark, SF))
             assert "Python" not in text and "InPandas" not in text, name
@@ -115,7 +115,7 @@ def test_no_python_and_no_cross_join_in_batch_plans(spark):
 
 
 def test_inventory_does_not_read_contents(spark):
-    text = plan(entry.queries()["file_inventory"](spark, SF))
+    text = plan(QUERIES["file_inventory"](spark, SF))
     assert "content" not in text.split("ReadSchema", 1)[1].split("\n")[0]
 
 
