@@ -2,9 +2,9 @@
 
 A page becomes a tree of its tags. Every node gets its density: characters per tag, lowered where the
 characters are link text. The densities of a node's children add up to its sum. The node with the
-largest sum marks the text; the smallest density on its path up to the body is the threshold, and
-starting at the body, the subtree of the largest sum under each node that reaches the threshold is
-taken. Elements that never hold text of an article (scripts, forms, menus, asides, and elements whose
+largest sum marks the text; the smallest density on its path up to the body is the threshold. From
+the body down, under each node that reaches the threshold the subtree of the largest sum is marked
+(a node without elements is its own), and its children are judged in turn; marks inside others merge. Elements that never hold text of an article (scripts, forms, menus, asides, and elements whose
 class or id says advert, comment, sidebar and the like) are cut before any density is computed.
 
 Blocks are joined by a line end, white space inside a block is one space, character references are
@@ -199,11 +199,18 @@ def select(nodes: list[Node]) -> list[Node]:
         for child in x.children:
             if isinstance(child, Node) and not child.dropped and strongest[id(child)].total > strongest[id(x)].total:
                 strongest[id(x)] = strongest[id(child)]
+    marked: set[int] = set()
+    todo = [body]
+    while todo:
+        node = todo.pop()
+        if node.density >= threshold and node.chars:
+            marked.add(id(strongest[id(node)]))
+            todo.extend(x for x in node.children if isinstance(x, Node) and not x.dropped)
     chosen, todo = [], [body]
     while todo:
         node = todo.pop()
-        if node.density >= threshold and strongest[id(node)].total > 0:
-            chosen.append(strongest[id(node)])
+        if id(node) in marked:
+            chosen.append(node)
         else:
             todo.extend(x for x in reversed(node.children) if isinstance(x, Node) and not x.dropped)
     return chosen

@@ -50,6 +50,16 @@ def test_text_outweighs_links():
     assert "linked" not in html.main_text(page)
 
 
+
+def test_all_dense_sections_of_a_page_without_article():
+    part = lambda name, n: f"<div class={name}>" + "".join(f"<p>{f'{name} number {i} ' * 20}</p>" for i in range(n)) + "</div>"
+    links = "<ul>" + "<li><a href=x>link</a></li>" * 6 + "</ul>"
+    text = html.main_text(f"<body><div id=content><h1>A title</h1>{part('s1', 5)}{part('s2', 4)}</div>{links}<p>{'alone ' * 50}</p></body>")
+    assert all(f"{name} number {i}" in text for name, n in (("s1", 5), ("s2", 4)) for i in range(n))
+    assert "alone" in text and "link" not in text
+    assert text.count("s1 number 0") == 20
+
+
 # ---- personal data
 
 BASE = {
