@@ -2,8 +2,8 @@
 
 Texts become templates: numbers, units behind numbers, and names (capitalised words that do not begin
 a sentence) turn into typed placeholders. Every run of ``WINDOW`` template words of every benchmark
-item is looked up in every document by hash; windows with fewer than ``LEAST_PLAIN`` other words say
-nothing and are left out. Windows that follow each other in item and document form a run. In a run,
+item is looked up in every document by hash, and so are its words as they stand: verbatim windows
+always count, and templates with fewer than ``LEAST_PLAIN`` other words are left out. Windows that follow each other in item and document form a run. In a run,
 equal slots of the item must hold equal values in the document and different ones different values;
 else the run is cut there. A document leaks an item if a run covers ``LEAST_WORDS`` words of it, or
 the whole item if that is shorter.
@@ -12,7 +12,7 @@ Documents are scanned once for each block of ``BLOCK_WINDOWS`` distinct benchmar
 hashes has a fixed size and is broadcast, so a benchmark of any size is handled and no document text
 is shuffled. Only hits are; a run of hits stays with its document.
 
-Null and empty texts leak nothing; items with fewer than ``LEAST_PLAIN`` other words leak nowhere.
+Null and empty texts leak nothing; items with fewer than ``LEAST_PLAIN`` other words leak by verbatim copies.
 Repeated rows get equal results (documents are told apart by id and text); repeated items give one row
 each. Empty tables give empty results; other columns are ignored.
 """
@@ -112,7 +112,8 @@ class Templates:
         counted[1:] = number[:-1] & (of[1:] == of[:-1])
         unit = ((kinds & _IS_UNIT) > 0) & counted
         name = ((kinds & _IS_CAPITAL) > 0) & ~begins & ~unit
-        hashes = np.array(known.hashes, np.uint64)[which]
+        self.literal = np.array(known.hashes, np.uint64)[which]
+        hashes = self.literal.copy()
         for chosen, mark in ((number, NUMBER), (unit, UNIT), (name, NAME)):
             hashes[chosen] = np.uint64(xxhash.xxh3_64_intdigest(mark))
         self.text_of, self.hashes, self._which, self._plain = of, hashes, which, known.plain
@@ -121,11 +122,15 @@ class Templates:
         self.first = np.cumsum(self.counts) - self.counts
 
     def windows(self, size: int, least_plain: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of all runs of ``size`` words of one text with enough plain words."""
+        """Starts and hashes of all runs of ``size`` words of one text: as templates if they have enough
+        plain words, and as they stand in any case (once where both are the same)."""
         starts = np.arange(max(0, len(self.hashes) - size + 1))
         starts = starts[self.text_of[starts] == self.text_of[starts + size - 1]]
-        starts = starts[self._is_plain[starts + size] - self._is_plain[starts] >= least_plain]
-        return starts, LongGrams(self.hashes).between(starts, starts + size)
+        plain = self._is_plain[starts + size] - self._is_plain[starts]
+        enough, as_is = plain >= least_plain, (plain < size) | (plain < least_plain)
+        typed, literal = starts[enough], starts[as_is]
+        hashes = [LongGrams(x).between(at, at + size) for x, at in ((self.hashes, typed), (self.literal, literal))]
+        return np.concatenate([typed, literal]), np.concatenate(hashes)
 
     def values(self, start: int, size: int) -> list[str]:
         return [self._plain[i] for i in self._which[start : start + size].tolist()]

@@ -282,6 +282,16 @@ def test_leaks(spark, docs_of, text, leaked):
     assert kept.count() == (0 if leaked else 1)
 
 
+def test_verbatim_items_leak_whatever_their_words_are(spark, docs_of):
+    texts = [
+        "In what year did Albert Einstein win the Nobel Prize in Physics?", "3 7 11 15 19 23 27 31", "Paris London Rome",
+        "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15",
+    ]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = docs_of([(i, f"so then {t} and more") for i, t in enumerate(texts)] + [(9, "years 4 8 12 16 20 24 28 32 in Berlin Madrid")])
+    assert sorted((r.id, r["item"]) for r in contamination.leaks(docs, items).collect()) == [(i, i) for i in range(len(texts))]
+
+
 def test_slots_must_agree():
     window = lambda at, values, found: {
         "item_at": at, "doc_at": at + 10, "size": len(values), "n_words": 30, "item_values": values, "doc_values": found
