@@ -1,7 +1,8 @@
 """Benchmark leaks, also re-parameterised ones: templates of word windows and consistent slots.
 
-Texts become templates: numbers, units behind numbers, and names (capitalised words that do not begin
-a sentence) turn into typed placeholders. Every run of ``WINDOW`` template words of every benchmark
+Texts become templates: numbers (also in words), units behind numbers, and names (capitalised words)
+turn into typed placeholders. A capitalised word that begins a sentence may be a name or not: windows
+with such words are taken both ways. Every run of ``WINDOW`` template words of every benchmark
 item is looked up in every document by hash, and so are its words as they stand: verbatim windows
 always count, and templates with fewer than ``LEAST_PLAIN`` other words are left out. Windows that follow each other in item and document form a run. In a run,
 equal slots of the item must hold equal values in the document and different ones different values;
@@ -49,6 +50,12 @@ UNITS = frozenset(
     "year years mph kmh percent % $ € £ usd eur dollar dollars cent cents euro euros".split()
 )
 
+# Number words. They are numbers wherever they stand.
+NUMBER_WORDS = frozenset(
+    "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
+    "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen".split()
+)
+
 _EDGE = re.compile(r"^[^\w%$€£]+|[^\w%$€£]+$")
 _NUMBER = re.compile(r"[$€£]?[+-]?[0-9][0-9.,:/]*(%|[a-z]{1,3})?")
 _SENTENCE_END = re.compile(r"[.!?:][\"')\]]*$")
@@ -75,11 +82,11 @@ class _Kinds(dict):
         kind = _ENDS if _SENTENCE_END.search(text) else 0
         if not word:
             kind |= _EMPTY
-        elif _NUMBER.fullmatch(low):
+        elif _NUMBER.fullmatch(low) or all(x in NUMBER_WORDS for x in low.split("-")):
             kind |= _IS_NUMBER
         else:
             kind |= _IS_UNIT if low in UNITS else 0
-            kind |= _IS_CAPITAL if word[0].isupper() and not word.isupper() else 0
+            kind |= _IS_CAPITAL if word[0].isupper() and word != "I" else 0
         number = self[raw] = len(self.plain)
         self.plain.append(low)
         self.hashes.append(xxhash.xxh3_64_intdigest(low.encode()))
@@ -111,26 +118,35 @@ class Templates:
         counted = np.zeros(len(kinds), bool)
         counted[1:] = number[:-1] & (of[1:] == of[:-1])
         unit = ((kinds & _IS_UNIT) > 0) & counted
-        name = ((kinds & _IS_CAPITAL) > 0) & ~begins & ~unit
+        capital = ((kinds & _IS_CAPITAL) > 0) & ~unit
+        name = capital & ~begins
         self.literal = np.array(known.hashes, np.uint64)[which]
-        hashes = self.literal.copy()
-        for chosen, mark in ((number, NUMBER), (unit, UNIT), (name, NAME)):
-            hashes[chosen] = np.uint64(xxhash.xxh3_64_intdigest(mark))
-        self.text_of, self.hashes, self._which, self._plain = of, hashes, which, known.plain
-        self._is_plain = np.cumsum(np.r_[0, ~(number | unit | name)])
+        self.text_of, self._which, self._plain = of, which, known.plain
+        # A capitalised word that begins a sentence is a word in the first template and a name in the second.
+        self._templates = []
+        for names in (name, capital):
+            hashes = self.literal.copy()
+            for chosen, mark in ((number, NUMBER), (unit, UNIT), (names, NAME)):
+                hashes[chosen] = np.uint64(xxhash.xxh3_64_intdigest(mark))
+            self._templates.append((hashes, np.cumsum(np.r_[0, ~(number | unit | names)])))
         self.counts = np.bincount(of, minlength=len(split))
         self.first = np.cumsum(self.counts) - self.counts
 
     def windows(self, size: int, least_plain: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of all runs of ``size`` words of one text: as templates if they have enough
-        plain words, and as they stand in any case (once where both are the same)."""
-        starts = np.arange(max(0, len(self.hashes) - size + 1))
+        """Starts and hashes of all runs of ``size`` words of one text: as both templates if they have enough
+        plain words, and as they stand in any case (once where they are the same)."""
+        starts = np.arange(max(0, len(self.literal) - size + 1))
         starts = starts[self.text_of[starts] == self.text_of[starts + size - 1]]
-        plain = self._is_plain[starts + size] - self._is_plain[starts]
-        enough, as_is = plain >= least_plain, (plain < size) | (plain < least_plain)
-        typed, literal = starts[enough], starts[as_is]
-        hashes = [LongGrams(x).between(at, at + size) for x, at in ((self.hashes, typed), (self.literal, literal))]
-        return np.concatenate([typed, literal]), np.concatenate(hashes)
+        (first, plain), (second, fewer) = (
+            (hashes, count[starts + size] - count[starts]) for hashes, count in self._templates
+        )
+        listed = (
+            (first, starts[plain >= least_plain]),
+            (second, starts[(fewer >= least_plain) & (fewer < plain)]),
+            (self.literal, starts[(plain < size) | (plain < least_plain)]),
+        )
+        hashes = [LongGrams(words).between(at, at + size) for words, at in listed]
+        return np.concatenate([at for _, at in listed]), np.concatenate(hashes)
 
     def values(self, start: int, size: int) -> list[str]:
         return [self._plain[i] for i in self._which[start : start + size].tolist()]

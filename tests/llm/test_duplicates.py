@@ -292,6 +292,20 @@ def test_verbatim_items_leak_whatever_their_words_are(spark, docs_of):
     assert sorted((r.id, r["item"]) for r in contamination.leaks(docs, items).collect()) == [(i, i) for i in range(len(texts))]
 
 
+def test_names_at_sentence_starts_and_number_words_are_slots(spark, docs_of):
+    texts = [
+        "Tom has 3 apples. Tom buys 4 more apples. How many apples does Tom have?",
+        "the shop sold three red pens and twelve blue pens to NASA staff on that day",
+    ]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = docs_of([
+        (0, "Anna has 7 apples. Anna buys 9 more apples. How many apples does Anna have?"),
+        (1, "the shop sold seven red pens and twenty blue pens to ESA staff on that day"),
+        (2, "Anna has 7 apples. Bob buys 9 more apples. How many apples does Eve have?"),
+    ])
+    assert sorted((r.id, r["item"]) for r in contamination.leaks(docs, items).collect()) == [(0, 0), (1, 1)]
+
+
 def test_slots_must_agree():
     window = lambda at, values, found: {
         "item_at": at, "doc_at": at + 10, "size": len(values), "n_words": 30, "item_values": values, "doc_values": found
