@@ -73,14 +73,13 @@ def anchors_of(hashes: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray
     return grams[at], context, first, counts
 
 
-def _place(mark: np.ndarray | int, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Text mark (24 bits), number of windows (8 bits) and first word in one number."""
-    return (mark << 40) | (counts << 32) | first
+def _place(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Number of windows and first word (32 bits) in one number."""
+    return (counts << 32) | first
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    mark = F.xxhash64(F.col(text)).bitwiseAND(F.lit((1 << 23) - 1))
-    return docs.select(F.col(key).alias("id"), F.col(text).alias("text"), mark.alias("mark"))
+    return docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("mark"))
 
 
 def _anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -89,24 +88,23 @@ def _anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             found, repeat, places = [], [], []
-            marks = batch.column("mark").to_numpy()
-            for text, mark in zip(batch.column("text").to_pylist(), marks, strict=True):
+            for text in batch.column("text").to_pylist():
                 grams, context, first, counts = anchors_of(word_hashes(split_words(text)), window, anchor)
                 found.append((grams, context))
                 repeat.append(len(grams))
-                places.append(_place(int(mark), first, counts))
-            ids = batch.column("id").take(pa.array(np.repeat(np.arange(len(repeat)), repeat)))
+                places.append(_place(first, counts))
+            of = pa.array(np.repeat(np.arange(len(repeat)), repeat))
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids,
+                    batch.column("id").take(of), batch.column("mark").take(of),
                     pa.array(np.concatenate([x for x, _ in found]).view(np.int64)),
                     pa.array(np.concatenate([x for _, x in found]).view(np.int64)),
                     pa.array(np.concatenate(places).astype(np.int64)),
                 ],
-                ["id", "anchor", "context", "place"],
-            )
+                ["id", "mark", "anchor", "context", "place"],
+            )
 
-    return docs.mapInArrow(rows, f"id {kind}, anchor bigint, context bigint, place bigint")
+    return docs.mapInArrow(rows, f"id {kind}, mark bigint, anchor bigint, context bigint, place bigint")
 
 
 def _windows(listed: DataFrame, window: int) -> DataFrame:
@@ -120,36 +118,39 @@ def _windows(listed: DataFrame, window: int) -> DataFrame:
             for i, text in enumerate(batch.column("text").to_pylist()):
                 items = batch.column("listed")[i].values
                 place = items.field("place").to_numpy()
-                counts, first = (place >> 32) & 255, place & _LOW
+                counts, first = place >> 32, place & _LOW
                 total = int(counts.sum())
                 within = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
                 starts = np.repeat(first, counts) + within
                 grams = LongGrams(word_hashes(split_words(text)))
                 out[0].append(np.repeat(items.field("anchor").to_numpy(), counts))
                 out[1].append(grams.between(starts, starts + window).view(np.int64))
-                out[2].append(_place(int(batch.column("mark")[i].as_py()), starts, np.int64(1)))
+                out[2].append(_place(starts, np.int64(1)))
                 out[3].append(np.repeat(items.field("n").to_numpy(), counts))
                 repeat.append(total)
-            ids = batch.column("id").take(pa.array(np.repeat(np.arange(len(repeat)), repeat)))
+            of = pa.array(np.repeat(np.arange(len(repeat)), repeat))
             yield pa.RecordBatch.from_arrays(
-                [ids, *(pa.array(np.concatenate(x).astype(np.int64)) for x in out)],
-                ["id", "anchor", "words", "place", "n"],
-            )
+                [
+                    batch.column("id").take(of), batch.column("mark").take(of),
+                    *(pa.array(np.concatenate(x).astype(np.int64)) for x in out),
+                ],
+                ["id", "mark", "anchor", "words", "place", "n"],
+            )
 
     return listed.select("id", "text", "mark", "listed").mapInArrow(
-        rows, f"id {kind}, anchor bigint, words bigint, place bigint, n bigint"
+        rows, f"id {kind}, mark bigint, anchor bigint, words bigint, place bigint, n bigint"
     )
 
 
 def _referred(occurrences: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Each occurrence with the group's first one, or the last one for the first itself."""
-    here = F.struct(F.col("id"), F.col("place"))
+    here = F.struct(F.col("id"), F.col("mark"), F.col("place"))
     reference = F.when(F.col("first").eqNullSafe(here), F.col("last")).otherwise(F.col("first"))
-    return occurrences.join(groups.select(*keys, "first", "last"), keys).select("id", "place", reference.alias("reference"))
+    return occurrences.join(groups.select(*keys, "first", "last"), keys).select("id", "mark", "place", reference.alias("reference"))
 
 
 def matches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (id, place, reference): runs of duplicate windows, each with another place of the same words."""
+    """Rows (id, mark, place, reference): runs of duplicate windows, each with another place of the same words."""
     if not anchor < window < 128 + anchor:
         raise ValueError("an anchor is shorter than a window, a window shorter than 128 words more")
     spark, keyed = docs.sparkSession, _keyed(docs, key, text)
@@ -159,7 +160,7 @@ def matches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, key: st
     found.join(repeated, "anchor").write.parquet(path)
     shared = spark.read.parquet(path)
 
-    here = F.struct(F.col("id"), F.col("place"))
+    here = F.struct(F.col("id"), F.col("mark"), F.col("place"))
     contexts = shared.groupBy("anchor", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(here).alias("first"), F.max(here).alias("last")
     )
@@ -167,7 +168,7 @@ def matches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, key: st
 
     mixed = contexts.groupBy("anchor").count().where("count > 1").select("anchor")
     edges = contexts.join(mixed, "anchor").select(
-        F.col("first.id").alias("id"), F.shiftright(F.col("first.place"), 40).alias("mark"),
+        F.col("first.id").alias("id"), F.col("first.mark").alias("mark"),
         F.struct("anchor", F.col("first.place").alias("place"), "n").alias("listed"),
     )
     listed = _with_text(keyed, edges.groupBy("id", "mark").agg(F.collect_list("listed").alias("listed")), "inner")
@@ -187,7 +188,7 @@ def _with_text(keyed: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 
 def _chain(place: np.ndarray, others: list, other_place: np.ndarray, window: int) -> tuple[list[dict], np.ndarray, np.ndarray]:
     """Greedy factors of one document and its duplicate runs as starts and ends in words."""
-    first, counts, target = place & _LOW, (place >> 32) & 255, other_place & _LOW
+    first, counts, target = place & _LOW, place >> 32, other_place & _LOW
     order = np.argsort(first, kind="stable")
     factors: list[dict] = []
     for i in order.tolist():
@@ -211,7 +212,7 @@ def remove_duplicates(
     A factor is (start, length) in words and the (document, position) that it was parsed from.
     """
     found = matches(docs, window, anchor, key, text).select(
-        "id", F.shiftright("place", 40).alias("mark"), F.struct("place", "reference").alias("match")
+        "id", "mark", F.struct("place", "reference").alias("match")
     )
     lists = found.groupBy("id", "mark").agg(F.collect_list("match").alias("matches"))
     joined = _with_text(_keyed(docs, key, text), lists, "left").select("id", "text", "matches")

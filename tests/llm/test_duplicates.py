@@ -141,6 +141,20 @@ def test_removed_substrings(docs_of, seed, window):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got.collect()) == brute_removal(rows, window)
 
 
+def test_texts_of_one_id_are_told_apart(docs_of):
+    """Pairs of texts under one id (and under none) whose hashes agree in their last 23 bits."""
+    dice, seen, pairs = random.Random(8), {}, []
+    passage = [f"p{i}" for i in range(40)]
+    while len(pairs) < 4:
+        text = " ".join([str(dice.random()) for _ in range(dice.randint(0, 80))] + passage)
+        low = xxhash.xxh64_intdigest(text.encode(), 42) & ((1 << 23) - 1)
+        if seen.setdefault(low, text) != text:
+            pairs.append((seen[low], text))
+    rows = [(1 if i < 2 else None, t) for i, pair in enumerate(pairs) for t in pair]
+    got = substrings.remove_duplicates(docs_of(rows))
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got.collect()) == brute_removal(rows, 35)
+
+
 def test_factors_are_copies(docs_of):
     rows = corpus(5)
     texts = {i: words(t) for i, t in rows}
