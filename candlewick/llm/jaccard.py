@@ -1,9 +1,9 @@
 """Join of documents by the Jaccard similarity of their word n-grams, and the groups that it links.
 
 The incidence matrix has a row for each distinct set of n-grams (documents of equal sets are one row)
-and a column for each n-gram. Its product with itself counts the common n-grams of every two rows; it
-is computed block by block (a block is a column's rows), and only where bounds derived from the set
-sizes leave a pair possible. With t the least similarity and s a set's size:
+and a column for each n-gram. Its product with itself is never formed: a block (a column's rows) gives
+candidate pairs where bounds derived from the set sizes leave a pair possible, and those are verified
+on the whole sets. With t the least similarity and s a set's size:
 
 1. Two linked sets share the fewer of ``depth(s)`` columns among the ``s - ceil(t * s) + depth(s)``
    smallest of each, in any order common to all. In hash order, rows with too few columns that another
@@ -149,7 +149,7 @@ def _blocks(sets: DataFrame, percent: int) -> DataFrame:
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) with sizes and the number of common columns of the whole sets.
 
-    A batch of row pairs is one sparse product: equal (pair, column) entries of both sides are counted.
+    Each candidate pair is one intersection of two sorted sets.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,17 +1,17 @@
-"""Substring duplicates by relative Lempel-Ziv parsing of documents against the corpus itself.
+"""Substring duplicates: windows of words counted over the corpus by anchors and contexts.
 
 The reference is every text. It is indexed by anchors: of the runs of ``ANCHOR`` words in a window of
 ``window`` words, the one with the smallest hash. Equal windows choose the same anchor at the same
-place, so an index block (a shuffle partition of anchor hashes) holds every text that could match a
-window of that block, and a document is parsed against all blocks at once through the shuffle.
+place, so a group of one anchor holds every text that could match a window of it. No document is
+parsed against a reference block: counts of contexts and windows decide which words go.
 
 1. Anchors of all texts; those that occur once in the corpus cannot be in a factor and are dropped.
 2. Long factors: all windows of an anchor form its context. Occurrences with equal contexts match in
    every window; they are counted with a combine before the shuffle and refer to the first of them.
 3. Factor boundaries: where contexts of one anchor differ, matches end inside them. One occurrence of
    each such context is looked up window by window.
-4. Each document's matches are chained greedily into factors (same referenced document, same
-   distance), and every word of a factor is a duplicate.
+4. Every word under a match is a duplicate. Matches are also chained greedily into factors (same
+   referenced document, same distance), which are listed but decide nothing.
 
 The result is exact up to hash collisions (128 bits: anchor and context or window). Documents are
 identified by id and a hash of the text; rows that repeat both are occurrences like any other, so
