@@ -13,7 +13,18 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    stored = spark.read.parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def _dropped(stored: DataFrame) -> None:
+    """Deletes what ``_stored`` wrote, once nothing reads it any more. Other tables are left alone."""
+    path = getattr(stored, "_stored_at", None)
+    if path is not None:
+        context = stored.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def _large_star(links: DataFrame) -> DataFrame:

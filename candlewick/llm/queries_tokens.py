@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import bpe, planes
+from candlewick.llm import alignment, bpe, planes
 from candlewick.llm.registry import query, table
 from candlewick.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 @query("op1_bit_planes")
@@ -31,3 +32,10 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op12_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    a, b = public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES)
+    return alignment.aligned(docs, a, public_tokenizers.PATTERN, b)
