@@ -150,10 +150,23 @@ def export_logs(spark: SparkSession, documents: str, text_logs: str, out: str, i
 
 
 def stream(spark: SparkSession, servers: str, topic: str, out: str, checkpoint: str) -> None:
-    """Five-minute windows of a tick topic, until stopped. Needs the Kafka connector."""
+    """Five-minute windows of a tick topic and an audit of its late ticks, until stopped.
+
+    Windows go to ``out/updates``, the audit to ``out/late``, late ticks to ``out/late_ticks``; run
+    ``compact`` every day. Needs the Kafka connector.
+    """
     tk.use_rocksdb_state(spark)
-    ticks = tk.read_ticks(spark, {"kafka.bootstrap.servers": servers, "subscribe": topic})
-    tk.start_sink(tk.tick_windows(tk.accepted(ticks)), out, checkpoint, writers=8).awaitTermination()
+    ticks = tk.accepted(tk.read_ticks(spark, {"kafka.bootstrap.servers": servers, "subscribe": topic}))
+    tk.start_late_audit(ticks, f"{out}/late", f"{checkpoint}/late", keep=f"{out}/late_ticks")
+    tk.start_sink(tk.tick_windows(ticks), f"{out}/updates", f"{checkpoint}/windows", rows_per_file=1_000_000)
+    spark.streams.awaitAnyTermination()
+
+
+def compact(spark: SparkSession, out: str, mb_per_file: int = 128) -> int:
+    """Moves the closed days of ``stream`` to ``out/closed``, one row per window; returns their number."""
+    updates = f"{out}/updates"
+    days = tk.closed_days(spark, updates)
+    return len(tk.compact_days(spark, updates, f"{out}/closed", days, file_bytes=mb_per_file << 20))
 
 
 def score_stream(
@@ -170,7 +183,7 @@ def score_stream(
 
 
 JOBS = (
-    etl, publish_bars, engineer, train, score, estimate, predict, check, mask, export_logs, stream, score_stream,
+    etl, publish_bars, engineer, train, score, estimate, predict, check, mask, export_logs, stream, compact, score_stream,
 )
 
 

@@ -85,14 +85,29 @@ def stream_parse(spark, sf):
     return spark.read.parquet(out).groupBy(outcome, known).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _slots(rows, n, delay="0"):
+    """Rows with the number of the part in which they arrive: ``n`` parts of equal time, in order of time."""
+    micros = F.unix_micros(F.to_timestamp("timestamp"))
+    ends = rows.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
+    step = (ends["high"] - ends["low"]) // n + 1
+    slot = F.expr(f"(unix_micros(to_timestamp(timestamp)) - {ends['low']}) div {step}") + F.expr(delay)
+    return rows.withColumn("slot", F.least(slot, F.lit(n - 1)))
+
+
 @query("stream_tumbling_5m", with_tables("ticks", body=_WINDOWS))
 def stream_tumbling_5m(spark, sf):
-    """Windows in update mode over one arrival of all ticks, then the final row of each window."""
+    """Three arrivals in order of time, each a micro-batch in update mode; closed days are compacted on
+    the way, and the final row of each window is read from closed and open days together."""
     path, out = scratch_path(spark, "windows-in"), scratch_path(spark, "windows-out")
-    write_text(_payload(fx.tick_rows(spark, sf)), path)
-    windows = tk.tick_windows(tk.accepted(_stream(spark, path)))
-    _drain(tk.start_sink(windows, out, scratch_path(spark, "windows-ck"), trigger=ONCE, writers=2))
-    return rounded(_ntz(tk.upsert_latest(spark.read.parquet(out)), "window_start", "window_end"))
+    closed, checkpoint = scratch_path(spark, "windows-closed"), scratch_path(spark, "windows-ck")
+    rows = _slots(fx.tick_rows(spark, sf), 3)
+    for part in range(3):
+        write_text(_payload(rows.filter(F.col("slot") == part).drop("slot")), path, mode="append")
+        windows = tk.tick_windows(tk.accepted(_stream(spark, path)))
+        _drain(tk.start_sink(windows, out, checkpoint, trigger=ONCE, rows_per_file=1_000_000))
+        if part == 1:
+            tk.compact_days(spark, out, closed, tk.closed_days(spark, out))
+    return rounded(_ntz(tk.read_windows(spark, out, closed), "window_start", "window_end"))
 
 
 @query("stream_update_upsert", with_tables("ticks", body=_WINDOWS))
@@ -122,26 +137,32 @@ def foreach_batch_sink(spark, sf):
     )
 
 
-@query("stream_late_drop", with_tables("ticks", body="""
-    SELECT CAST(count(DISTINCT ticker || CAST(time_bucket(INTERVAL 5 MINUTE, ts) AS VARCHAR)) AS BIGINT) AS late_rows
-    FROM ticks WHERE epoch_us(ts) < (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM ticks)"""))
-def stream_late_drop(spark, sf):
-    """The newer half arrives first; what then falls behind the watermark is counted.
+_LATE_SLOTS = 6
+
+_LATE = f"""
+    SELECT dense_rank() OVER (ORDER BY slot) - 1 AS batch_id, slot, ts,
+           time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end
+    FROM (SELECT ts, least({_LATE_SLOTS - 1}, (epoch_us(ts) - t_low) // ((t_high - t_low) // {_LATE_SLOTS} + 1) + event_id % 7 // 5) AS slot
+          FROM ticks, (SELECT min(epoch_us(ts)) AS t_low, max(epoch_us(ts)) AS t_high FROM ticks))"""
 
-    The stream aggregates an arrival before it looks at the watermark, so a late row is a late
-    (window, ticker) of the arrival.
-    """
+
+@query("stream_late_drop", with_tables("ticks", body=f"""
+    SELECT batch_id, CAST(count(*) AS BIGINT) AS n_ticks, CAST(count(*) FILTER (window_end <= watermark) AS BIGINT) AS n_late
+    FROM ({_LATE}) JOIN (
+        SELECT batch_id, max(max(ts)) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+               - INTERVAL 10 MINUTE AS watermark
+        FROM ({_LATE}) GROUP BY batch_id) USING (batch_id)
+    GROUP BY batch_id"""))
+def stream_late_drop(spark, sf):
+    """Arrivals in order of time, but two ticks in seven come one arrival later: how many ticks of each
+    micro-batch are behind the watermark that the earlier ones set."""
     path, out = scratch_path(spark, "late-in"), scratch_path(spark, "late-out")
     checkpoint = scratch_path(spark, "late-ck")
-    rows = fx.tick_rows(spark, sf)
-    micros = F.unix_micros(F.to_timestamp("timestamp"))
-    middle = rows.select(micros.alias("t")).agg(F.expr("(min(t) + max(t)) div 2")).scalar()
-    newer = micros >= middle
-    for part in (newer, ~newer):
-        write_text(_payload(rows.filter(part)), path, mode="append")
-        windows = tk.tick_windows(tk.accepted(_stream(spark, path)))
-        last = _drain(tk.start_sink(windows, out, checkpoint, mode="append", trigger=ONCE, writers=2))
-    return tk.late_count(last)
+    rows = _slots(fx.tick_rows(spark, sf), _LATE_SLOTS, "event_id % 7 div 5")
+    for part in range(_LATE_SLOTS):
+        write_text(_payload(rows.filter(F.col("slot") == part).drop("slot")), path, mode="append")
+        _drain(tk.start_late_audit(tk.accepted(_stream(spark, path)), out, checkpoint, trigger=ONCE))
+    return tk.late_batches(spark, out).select("batch_id", "n_ticks", "n_late")
 
 
 @query("stream_file_count")
