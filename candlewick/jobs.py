@@ -133,20 +133,23 @@ def check(spark: SparkSession, raw: str, out: str, audit: str, exact: bool = Tru
     return totals
 
 
-def mask(spark: SparkSession, people: str, out: str) -> None:
-    """Masks a table of people and stores it as CSV."""
+def mask(spark: SparkSession, people: str, out: str, record: str | None = None) -> None:
+    """Masks a table of people, stores it as CSV, and appends what was done to the documents in ``record``."""
     rows = spark.read.schema(TRADER).option("header", True).csv(people)
     privacy.mask_table(rows).write.mode("overwrite").option("header", True).csv(out)
+    if record:
+        done = privacy.masking_record(rows, original_file=people, masked_file=out)
+        sinks.append_docs(done.withColumn("timestamp", F.current_timestamp()), record)
 
 
 def export_logs(spark: SparkSession, documents: str, text_logs: str, out: str, index: str = "pipeline-logs") -> None:
-    """Log documents and plain log files as search-bulk text."""
+    """Log documents with all their fields, and plain log files, as search-bulk text."""
     docs = monitor.normalize_docs(files.read_text_docs(spark, documents))
     texts = monitor.normalize_text_logs(
         files.read_text_heads(spark, text_logs, monitor.MESSAGE_LENGTH, "*.log")
     )
     logs = docs.unionByName(texts, allowMissingColumns=True)
-    sinks.write_text(sinks.to_bulk_ndjson(logs, index, F.sha2("source_file", 256)), out)
+    sinks.write_text(sinks.to_bulk_documents(logs, index, F.sha2("source_file", 256), monitor.COMMON), out)
 
 
 def stream(spark: SparkSession, servers: str, topic: str, out: str, checkpoint: str) -> None:

@@ -14,7 +14,7 @@ from candlewick.operators.series import Series, Split
 TARGET = 250_000.0
 NAMES = {"1-URGENT": "Urgent", "2-HIGH": "High", "3-MEDIUM": "Medium"}
 # One event is one point; event_id makes the order of equal times total. The few types are hot.
-POINTS = Series(("ticker",), "ts", ("event_id",), Split("minute", 2_000))
+POINTS = Series(("ticker",), "ts", ("event_id",), Split("day"))
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -220,3 +220,28 @@ def hash_pii(spark, sf):
     rule = privacy.hashed("pepper")
     people = fx.traders(spark, sf).select("user_id", "email", "no_telepon")
     return privacy.mask_table(people, {"email": rule, "no_telepon": rule})
+
+
+_RECORDED = (
+    ("email", "partial mask", "email", _EMAIL), ("nama_lengkap", "partial mask", "nama_lengkap", _NAME),
+    ("no_telepon", "partial mask", "no_telepon", _PHONE), ("alamat", "generalized", "alamat", _ADDRESS),
+    ("saldo_investasi", "bands", "saldo_investasi_kategori", _AMOUNT),
+)
+
+
+@query("masking_record", with_tables("traders", body=" UNION ALL ".join(f"""
+    SELECT 'people' AS original_file, CAST(count(*) AS BIGINT) AS n_rows, '{name}' AS field, '{method}' AS method,
+           '{stored}' AS stored_as, CAST(count({name}) AS BIGINT) AS n_values,
+           CAST(count(*) FILTER (CAST({name} AS VARCHAR) <> ({sql})) AS BIGINT) AS n_changed FROM traders"""
+    for name, method, stored, sql in _RECORDED)))
+def masking_record(spark, sf):
+    """What a masking run did, stored as a document and read back, one row per field."""
+    policy = {**privacy.TRADER_POLICY, "saldo_investasi": privacy.banded("saldo_investasi_kategori", BANDS)}
+    path = scratch_path(spark, "record")
+    append_docs(privacy.masking_record(fx.traders(spark, sf), policy, "people", "masked"), path)
+    layout = (
+        "original_file string, masked_file string, n_rows long, "
+        "fields_masked array<struct<field:string,method:string,stored_as:string,n_values:long,n_changed:long>>"
+    )
+    docs = read_docs(spark, path, layout, multi_line=False)
+    return docs.select("original_file", "n_rows", F.inline("fields_masked"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from candlewick.schemas import BAR, RAW_BAR
+from candlewick.sources import folders
 
 
 CSV = {"header": True, "enforceSchema": False}
@@ -138,15 +139,16 @@ def read_text_heads(
     """First ``length`` characters of every file, as (content, source_file, modified).
 
     Files are read by line and may be split, so a log of any size is fine; at most ``length`` lines
-    of each leave the scan. Empty files give no row, as in every Spark file source.
+    of each leave the scan. An empty file has an empty text (no scan gives a row for it, so its name
+    comes from Spark's listing).
     """
     reader = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     start = F.col("_metadata.file_block_start")
     # A character takes up to four bytes: later blocks cannot hold one of the first.
-    lines = reader.text(path if isinstance(path, str) else list(path)).filter(start < 4 * length)
-    lines = lines.select(
+    everything = reader.text(path if isinstance(path, str) else list(path))
+    lines = everything.filter(start < 4 * length).select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_size").alias("_size"),
@@ -165,7 +167,26 @@ def read_text_heads(
     text = F.array_join(F.transform("_lines", lambda s: s["_head"]), "\n")
     # What the file holds beyond the lines read starts with a line end.
     whole = F.when(F.col("_read") < F.col("_size"), F.concat(text, F.lit("\n"))).otherwise(text)
-    return found.select(F.substring(whole, 1, length).alias("content"), "source_file", "modified")
+    return found.select(F.substring(whole, 1, length).alias("content"), "source_file", "modified").unionByName(
+        _empty_files(everything)
+    )
+
+
+def _empty_files(files: DataFrame) -> DataFrame:
+    """Rows like those of the heads for files that hold nothing.
+
+    The names come from the listing that Spark made on the driver anyway; only those of empty files are
+    asked for their time.
+    """
+    spark = files.sparkSession
+    # The listing writes local names with three slashes, the scan with one.
+    names = spark.createDataFrame([(re.sub("^file:/+", "file:/", x),) for x in files.inputFiles()], "source_file string")
+    filled = files.select(F.col("_metadata.file_path").alias("source_file")).filter(F.col("_metadata.file_block_start") == 0)
+    empty = names.join(filled.distinct(), "source_file", "left_anti").collect()
+    rows = [("", r["source_file"], folders.modified(spark, r["source_file"])) for r in empty]
+    return spark.createDataFrame(rows, "content string, source_file string, _ms long").select(
+        "content", "source_file", F.timestamp_millis("_ms").alias("modified")
+    )
 
 
 def file_inventory(spark: SparkSession, root: str, prefixes: Sequence[str] = ()) -> DataFrame:

@@ -22,6 +22,12 @@ def size(spark: SparkSession, path: str) -> int:
     return system.getContentSummary(place).getLength()
 
 
+def modified(spark: SparkSession, uri: str) -> int:
+    """When a file was changed, in milliseconds; its name as Spark writes it, with escapes."""
+    place, system = _at(spark, spark._jvm.java.net.URI(uri))
+    return system.getFileStatus(place).getModificationTime()
+
+
 def values_of(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the partition folders ``column=...`` right below ``path``; none if it does not exist."""
     place, system = _at(spark, path)

@@ -53,6 +53,24 @@ def to_bulk_ndjson(
     return df.select(F.concat_ws("\n", action, doc).alias("value"))
 
 
+def to_bulk_documents(
+    df: DataFrame, index: str, id_col: Column | str, columns: Sequence[str], fields: str = "fields"
+) -> DataFrame:
+    """Search-bulk text of whole documents: ``columns``, and every entry of ``fields`` (name to JSON text)."""
+    action = F.to_json(F.struct(
+        F.struct(F.lit(index).alias("_index"), as_column(id_col).cast("string").alias("_id")).alias("index")
+    ))
+    own = F.to_json(F.struct(*columns), {"ignoreNullFields": "true", "timestampFormat": JSON_TIME})
+    def entry(e: Column) -> Column:
+        name = F.to_json(F.array(e["key"]))
+        return F.concat(F.substr(name, F.lit(2), F.length(name) - 2), F.lit(":"), e["value"])
+
+    more = F.coalesce(F.array_join(F.transform(F.map_entries(fields), entry), ","), F.lit(""))
+    body = F.substr(own, F.lit(2), F.length(own) - 2)
+    doc = F.concat(F.lit("{"), F.concat_ws(",", F.nullif(body, F.lit("")), F.nullif(more, F.lit(""))), F.lit("}"))
+    return df.select(F.concat_ws("\n", action, doc).alias("value"))
+
+
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).text(path)
 

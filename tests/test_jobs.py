@@ -96,20 +96,24 @@ def test_masking(spark, lake):
         "user_id,nama_lengkap,email,no_telepon,alamat,saldo_investasi,risk_profile\n"
         '1,Siti Rahmawati,siti.rahma@yahoo.com,082345678901,"Jl. Sudirman No. 45, Bandung",100000000,aggressive\n'
     )
-    jobs.mask(spark, str(people), str(lake / "masked"))
+    jobs.mask(spark, str(people), str(lake / "masked"), str(lake / "masking"))
+    done = json.loads(spark.read.text(str(lake / "masking")).first()["value"])
+    assert done["n_rows"] == 1 and done["original_file"] == str(people) and "timestamp" in done
+    assert {f["field"]: (f["stored_as"], f["n_changed"]) for f in done["fields_masked"]}["saldo_investasi"] == ("saldo_investasi_kategori", 1)
     row = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(str(lake / "masked")).first()
     assert row["email"] == "s****a@yahoo.com" and row["saldo_investasi_kategori"] == "> 100 juta"
 
 
 def test_log_export(spark, lake):
     (lake / "docs").mkdir()
-    (lake / "docs" / "a.json").write_text('{"status": "completed", "pipeline": "batch"}')
+    (lake / "docs" / "a.json").write_text('{"status": "completed", "pipeline": "batch", "rows": 5, "tags": {"a": [1]}}')
     (lake / "logs" / "stream").mkdir(parents=True)
     (lake / "logs" / "stream" / "run.log").write_text("done")
     jobs.export_logs(spark, str(lake / "docs"), str(lake / "logs"), str(lake / "bulk"))
     lines = [r["value"] for r in spark.read.text(str(lake / "bulk")).collect()]
     docs = [json.loads(x) for x in lines if '"index"' not in x]
     assert len(lines) == 4 and {d["message"] for d in docs} == {"completed", "done"}
+    assert [(d["rows"], d["tags"]) for d in docs if "rows" in d] == [(5, {"a": [1]})]
 
 
 def test_command_line(lake, spark, capsys):

@@ -122,3 +122,63 @@ def test_inventory_does_not_read_contents(spark):
 def test_scoring_stays_in_the_jvm(spark, stored):
     model = cluster.train_clusters(stored, ["Open", "Close"], k=2, restarts=1)
     assert "Python" not in plan(cluster.predict_into(stored, model))
+
+
+def final_plan(df) -> str:
+    """The plan after it ran, with the exchanges that were used again."""
+    df.write.format("noop").mode("overwrite").save()
+    executed = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    text = executed.toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+def row_exchanges(text: str, column: str) -> list[str]:
+    """Exchanges that carry whole rows (with ``column``) and are not a second use of another one."""
+    lines = text.splitlines()
+    found = []
+    for i, line in enumerate(lines):
+        if re.search(r"[ -]Exchange hashpartitioning", line) and "ReusedExchange" not in line:
+            below = lines[i + 1] if i + 1 < len(lines) else ""
+            if column in below and "HashAggregate" not in below:
+                found.append(line.strip())
+    return found
+
+
+@pytest.fixture()
+def measured_joins(spark):
+    """Nothing is broadcast, as for tables too large for it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_chrono_split_shuffles_rows_once(spark, measured_joins):
+    df = sr.chrono_split(fx.points(spark, SF), 0.8, fx.POINTS)
+    text = final_plan(df)
+    assert len(row_exchanges(text, "value")) == 1
+    assert text.count("FileScan") <= 2
+    for line in text.splitlines():
+        # Alone, the entity deals out nothing but sums of coarse buckets.
+        if "Exchange hashpartitioning(_k0" in line and "_bucket" not in line and "_coarse" not in line:
+            assert "HashAggregate" in text.split(line, 1)[1].lstrip().split("\n")[0]
+
+
+def test_windows_over_hot_entities_shuffle_rows_once(spark, measured_joins):
+    """Besides the rows themselves only those at the edges of buckets move."""
+    df = sr.sequences(fx.points(spark, SF), "value", 60, fx.POINTS)
+    text = final_plan(df)
+    whole = row_exchanges(text, "value")
+    assert len([x for x in whole if "REPARTITION" not in x]) == 1
+    assert len([x for x in whole if "REPARTITION" in x]) == 1
+
+
+@pytest.mark.parametrize("operator", [
+    lambda df: sr.longest_streak(df, F.col("value") >= 10, fx.POINTS, 4),
+    lambda df: sr.sustained(df, F.col("value") >= 2, "5 minutes", fx.POINTS),
+], ids=["streak", "sustained"])
+def test_runs_are_summarised_and_never_joined_back(spark, operator, measured_joins):
+    text = final_plan(operator(fx.points(spark, SF)))
+    assert "Join" not in text
+    assert text.count("FileScan") == 1
+    assert len(re.findall(r"[ -]Exchange hashpartitioning", text)) == 3  # rows, pieces of buckets, pieces of months

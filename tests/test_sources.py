@@ -3,12 +3,13 @@
 import datetime
 import json
 import os
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
 
 from candlewick.functions import scalar as s
-from candlewick.operators import joins, monitor, summary
+from candlewick.operators import joins, monitor, series, summary
 from candlewick.schemas import BAR, RAW_BAR
 from candlewick.session import scratch_path, shared_dir
 from candlewick.sources import files, sinks
@@ -108,12 +109,53 @@ def test_log_documents(spark, tmp_path):
     assert d["severity"] == "INFO" and json.loads(d["message"]) == {"severity": "", "rows": 3}
 
 
+def test_whole_log_documents(spark, tmp_path):
+    """Every field reaches the bulk lines with its type; what a plain JSON reader makes of a document counts."""
+    texts = {
+        "whole": '{"level": "FATAL", "n": 1.5, "big": 12345678901234567890, "deep": {"a": [1, {"b": null}]}, "none": null,'
+                 ' "flag": true, "text": "12", "quote\\"d": "é\\n", "run_id": 7}',
+        "twice": '{"severity": "INFO", "n": 1, "severity": "FATAL", "n": 2, "note": "2x", "duration_ms": 5, "list": [1, 2]}',
+        "inside": '{"severity": "FATAL", "deep": {"a": 1, "a": 2}, "n": 3, "text": "4", "none": null}',
+        "behind": '{"severity": "FATAL"} more', "two": '{"a": 1} {"b": 2}', "comma": '{"a": 1},{"b": 2}',
+        "cut": '{"severity": "FATAL", "n": ', "list": "[1, 2]", "number": "7", "null": "null", "empty": "  ", "object": "{}",
+    }
+    for name, text in texts.items():
+        put(tmp_path / "logs" / name, text)
+    logs = monitor.normalize_docs(files.read_text_docs(spark, str(tmp_path / "logs")))
+    found = {os.path.basename(r["source_file"]): r for r in logs.collect()}
+    assert set(found) == set(texts) - {"list", "number", "null"}
+    rejects = {name: r["reject"] for name, r in found.items() if r["reject"]}
+    assert rejects == {"twice": "duplicate_key", "inside": "duplicate_key", **dict.fromkeys(["behind", "two", "comma", "cut", "empty"], "not_json")}
+    assert {n for n, r in found.items() if r["severity"] == "FATAL"} == {"whole", "twice", "inside"}
+    assert found["twice"]["duration_ms"] == 5 and found["whole"]["run_id"] == "7"
+    bulk = sinks.to_bulk_documents(logs, "i", F.regexp_extract("source_file", "[^/]+$", 0), monitor.COMMON)
+    docs = {json.loads(a)["index"]["_id"]: json.loads(d) for a, d in (r["value"].split("\n") for r in bulk.collect())}
+    for name in ("whole", "twice", "object"):
+        want = {k: v for k, v in json.loads(texts[name]).items() if v is not None and k not in monitor.COMMON}
+        assert {k: v for k, v in docs[name].items() if k not in monitor.COMMON} == want, name
+    assert docs["inside"]["n"] == 3 and docs["inside"]["text"] == "4" and docs["inside"]["deep"] == '{"a":1,"a":2}'
+    assert all(set(monitor.COMMON) <= set(d) for d in docs.values())
+    assert docs["cut"]["message"] == texts["cut"] and "fields" not in docs["cut"]
+
+
+def test_freshness_that_holds(spark):
+    at = lambda minutes: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes)
+    rows = [("a", at(0), 1, "completed"), ("a", at(1444), 2, "completed"), ("a", at(1500), 3, "failed"), ("a", at(2890), 4, "completed"),
+            ("b", at(0), 5, "completed"), ("c", at(0), 6, "failed"), (None, at(100), 7, "completed")]
+    runs = spark.createDataFrame(rows, "job string, ts timestamp_ntz, n long, status string")
+    for split in (None, series.Split("hour"), series.Split("day")):
+        held = monitor.stale_periods(runs, series.Series(("job",), "ts", ("n",), split), now=F.lit(at(3000)))
+        found = {r["job"]: (r["last_success"], r["firing_since"], r["resolved_at"]) for r in held.collect()}
+        # 1444 minutes are over a day, but not for five minutes.
+        assert found == {"a": (at(1444), at(2889), at(2890)), "b": (at(0), at(1445), None), None: (at(100), at(1545), None)}
+
+
 @pytest.mark.parametrize("block", ["128m", "64"])
 def test_heads_of_text_files(spark, tmp_path, block):
     texts = {
         "end": "\n", "short": "one\n", "open": "one\ntwo", "blank": "\n\n\nx\n",
         "long": "".join(f"line {i} é\n" for i in range(4000)), "wide": "w" * 9000, "windows": "a\r\nb\r\n",
-        "exact": "y" * 49 + "\n" + "z" * 10,
+        "exact": "y" * 49 + "\n" + "z" * 10, "empty": "", "sp ace%20": "",
     }
     for name, text in texts.items():
         (tmp_path / f"{name}.log").write_bytes(text.encode())
@@ -122,7 +164,7 @@ def test_heads_of_text_files(spark, tmp_path, block):
         rows = files.read_text_heads(spark, str(tmp_path), 50).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    got = {os.path.basename(r["source_file"])[:-4]: r["content"] for r in rows}
+    got = {os.path.basename(unquote(r["source_file"]))[:-4]: r["content"] for r in rows}
     assert got == {name: text[:50] for name, text in texts.items()}
 
 
