@@ -14,8 +14,7 @@ hashes has a fixed size and is broadcast, so a benchmark of any size is handled
 is shuffled. Only hits are; a run of hits stays with its document.
 
 Null and empty texts leak nothing; items with fewer than ``LEAST_PLAIN`` other words leak by verbatim copies.
-Repeated rows get equal results (documents are told apart by id and text); repeated items give one row
-each. Empty tables give empty results; other columns are ignored.
+Repeated rows get equal results (documents are told apart by id and text); items of one id are one. Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.graph import _stored, _unused
 from candlewick.llm.text import LongGrams, pieces, split_words
-from candlewick.session import scratch_path
 
 WINDOW = 8
 LEAST_PLAIN = 5
@@ -186,7 +185,9 @@ def benchmark_windows(
 
 
 def _hits(docs: DataFrame, sizes: list[int], known: np.ndarray, least_plain: int) -> DataFrame:
-    """Rows (id, mark, hash, at, values) of document windows whose hash is among the known ones."""
+    """Rows (id, mark, hash, at, values) of document windows whose hash is among the known ones, stored.
+
+    The broadcast of the known hashes is gone afterwards."""
     spark, kind = docs.sparkSession, docs.schema["id"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(np.sort(known))
 
@@ -209,7 +210,9 @@ def _hits(docs: DataFrame, sizes: list[int], known: np.ndarray, least_plain: int
                     ["id", "mark", "hash", "at", "values"],
                 )
 
-    return docs.mapInArrow(rows, f"id {kind}, mark bigint, hash bigint, at bigint, values array<string>")
+    found = _stored(docs.mapInArrow(rows, f"id {kind}, mark bigint, hash bigint, at bigint, values array<string>"), "hits")
+    shared.unpersist()
+    return found
 
 
 def _longest(windows: list[dict]) -> tuple[int, int]:
@@ -259,10 +262,7 @@ def leaks(
     least_words: int = LEAST_WORDS,
 ) -> DataFrame:
     """Rows (id, mark, item, n_words): each document and item that it leaks, with the words of the run."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "benchmark")
-    benchmark_windows(items, item_key, item_text, window, least_plain).write.parquet(path)
-    known = spark.read.parquet(path)
+    known = _stored(benchmark_windows(items, item_key, item_text, window, least_plain), "benchmark")
     keyed = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text"))
     distinct = known.select("hash", "size").distinct()
     total = distinct.count()
@@ -283,7 +283,10 @@ def leaks(
     )
     met = met.where(F.size("doc_values") == F.col("size"))
     kept = F.struct("doc_at", "item_at", "size", "n_words", "doc_values", "item_values")
-    runs = met.groupBy("id", "mark", "item", "copy").agg(F.collect_set(kept).alias("windows"))
+    # Windows of a run have one distance between document and item: no group has more than an item's windows,
+    # however often document and item repeat them.
+    distance = (F.col("doc_at") - F.col("item_at")).alias("distance")
+    runs = met.groupBy("id", "mark", "item", "copy", distance).agg(F.collect_set(kept).alias("windows"))
 
     @F.arrow_udf("struct<covered:bigint,n_words:bigint>")
     def longest(groups: pa.Array) -> pa.Array:
@@ -294,22 +297,29 @@ def leaks(
 
     judged = runs.select("id", "mark", "item", longest("windows").alias("run"))
     enough = F.col("run.covered") >= F.least(F.lit(least_words), F.col("run.n_words"))
-    return judged.where(enough & (F.col("run.covered") > 0)).select("id", "mark", "item", F.col("run.covered").alias("n_words"))
+    found = judged.where(enough & (F.col("run.covered") > 0))
+    return found.groupBy("id", "mark", "item").agg(F.max("run.covered").alias("n_words"))
 
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **settings: object) -> DataFrame:
     """All rows and columns of the documents that leak no item."""
-    found = leaks(docs, items, key, text, **settings).select(F.col("id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_mark"))
+    i, m = _unused(docs.columns, "_id", "_mark")
+    found = leaks(docs, items, key, text, **settings).select(F.col("id").alias(i), F.col("mark").alias(m)).distinct()
+    same = F.col(f"`{key}`").eqNullSafe(F.col(i)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(m))
     return docs.join(found, same, "left_anti")
 
 
-def with_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **settings: object) -> DataFrame:
-    """All rows and columns, plus ``leaked``: an array of (item, n_words) by item, empty for clean documents."""
-    found = leaks(docs, items, key, text, **settings).groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark")).agg(
-        F.array_sort(F.collect_list(F.struct("item", "n_words"))).alias("_leaked")
+def with_leaks(
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", into: str = "leaked", **settings: object
+) -> DataFrame:
+    """All rows and columns, plus ``into``: an array of (item, n_words) by item, empty for clean documents.
+
+    A column of that name is replaced."""
+    i, m, listed = _unused(docs.columns, "_id", "_mark", "_leaked")
+    found = leaks(docs, items, key, text, **settings).groupBy(F.col("id").alias(i), F.col("mark").alias(m)).agg(
+        F.array_sort(F.collect_list(F.struct("item", "n_words"))).alias(listed)
     )
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_mark"))
-    kind = found.schema["_leaked"].dataType.simpleString()
+    same = F.col(f"`{key}`").eqNullSafe(F.col(i)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(m))
+    kind = found.schema[listed].dataType.simpleString()
     joined = docs.join(found, same, "left")
-    return joined.withColumn("leaked", F.coalesce("_leaked", F.expr(f"cast(array() as {kind})"))).drop("_id", "_mark", "_leaked")
+    return joined.withColumn(into, F.coalesce(listed, F.expr(f"cast(array() as {kind})"))).drop(i, m, listed)

@@ -12,7 +12,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read again: what was computed survives the loss of executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     stored = spark.read.parquet(path)
     stored._stored_at = path
     return stored
@@ -27,6 +27,16 @@ def _dropped(stored: DataFrame) -> None:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def _unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to differ from all columns."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the smallest of its neighbourhood."""
     both = links.union(links.select("b", "a"))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.graph import _stored, components
+from candlewick.llm.graph import _stored, _unused, components
 from candlewick.llm.text import gram_hashes, pieces, word_hashes
 
 WORDS = 5
@@ -251,6 +251,7 @@ def keep_one_of_each(
     first = groups.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("mark").alias("_mark"))
     chosen = groups.join(first.withColumnRenamed("component_id", "_id"), F.col("id").eqNullSafe(F.col("_id")), "left")
     chosen = chosen.where((F.col("n_shingles") == 0) | (F.col("id").eqNullSafe(F.col("component_id")) & (F.col("mark") == F.col("_mark"))))
-    chosen = chosen.select(F.col("id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_mark"))
+    i, m = _unused(docs.columns, "_id", "_mark")
+    chosen = chosen.select(F.col("id").alias(i), F.col("mark").alias(m)).distinct()
+    same = F.col(f"`{key}`").eqNullSafe(F.col(i)) & (F.xxhash64(F.col(f"`{text}`")) == F.col(m))
     return docs.join(chosen, same, "left_semi")

@@ -5,8 +5,12 @@ import random
 import re
 from collections import Counter
 
+import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from candlewick.llm import contamination, graph, jaccard, lines, substrings
 from candlewick.llm.queries import QUERIES
@@ -172,61 +176,83 @@ def test_factors_are_copies(docs_of):
 # ---- lines
 
 
-def print_of(ws):
-    votes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in ws]
-    while True:
-        parts = [votes[i : i + 64] for i in range(0, len(votes), 64)]
-        votes = [sum(1 << b for b in range(64) if sum(x >> b & 1 for x in p) > len(p) // 2) for p in parts]
-        if len(votes) == 1:
-            return votes[0]
-
-
-def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row, last = [i], row
-        for j, y in enumerate(b, 1):
-            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
-    return row[-1]
-
-
-def near(a, b):
-    a, b = (re.sub("[aeiouàáâãäåèéêëìíîïòóôõöùúûü]+", "", x) for x in (a, b))
-    most = int(max(len(a), len(b)) * 0.2 + 1e-9)
-    return abs(len(a) - len(b)) <= most and distance(a, b) <= most
-
-
 def normal(line):
     return re.sub("[1-9]", "0", re.sub(r"[\W_]+", " ", line.lower()).strip(" "))
 
 
-def brute_lines(rows):
-    """Texts without duplicate lines, for documents with different ids."""
-    places = []
-    for doc, text in rows:
-        for k, line in enumerate((text or "").split("\n")):
-            n = normal(line)
-            if len(n.split(" ")) >= 5:
-                places.append((doc, k, n))
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    prints = {n: print_of(n.split(" ")) for _, _, n in places}
-    first = {}
-    for n, p in prints.items():
-        first[p] = min(first.get(p, n), n, key=lambda x: signed(xxhash.xxh64_intdigest(x.encode(), 42)))
-    links = [(a, b) for a, b in itertools.combinations(first, 2) if (a ^ b).bit_count() <= 3 and near(first[a], first[b])]
-    of = roots(first, links)
+def similar_pairs(texts):
+    """All pairs of distinct lines with an edit similarity of 0.8, measured by another engine.
+
+    Pairs that letters and pairs of letters rule out are left out: an edit changes one letter and two pairs of
+    letters on either side. That engine counts bytes, so every letter becomes one byte.
+    """
+    texts = sorted(texts, key=len)
+    letters = [c for c, _ in Counter("".join(texts)).most_common()]
+    assert len(letters) < 127
+    to_byte = str.maketrans({c: chr(i + 1) for i, c in enumerate(letters)})
+    coded = [t.translate(to_byte) for t in texts]
+    raw = [np.frombuffer(t.encode(), np.uint8).astype(int) for t in coded]
+    bags = np.array([np.bincount(x, minlength=128) for x in raw], np.int16).reshape(len(texts), -1)
+    twos = np.array([np.bincount((x[:-1] * 131 + x[1:]) % 509, minlength=509) for x in raw], np.int16).reshape(len(texts), -1)
+    sizes = np.array([len(t) for t in texts])
+    near = []
+    for i in range(len(texts)):
+        end = np.searchsorted(sizes, sizes[i] / 0.8 + 1e-9, side="right")
+        most = np.floor(0.2 * sizes[i + 1 : end] + 1e-9)
+        at = i + 1 + np.flatnonzero(np.abs(bags[i + 1 : end] - bags[i]).sum(axis=1) <= 2 * most)
+        at = at[np.abs(twos[at] - twos[i]).sum(axis=1) <= 4 * most[at - i - 1]]
+        near += [(i, int(j)) for j in at]
+    con = duckdb.connect()
+    con.register("rows", pa.table({"a": [coded[i] for i, _ in near], "b": [coded[j] for _, j in near], "i": [i for i, _ in near], "j": [j for _, j in near]}))
+    found = con.execute(
+        "SELECT i, j FROM rows WHERE levenshtein(a, b) <= floor(greatest(length(a), length(b)) * 0.2 + 1e-9)"
+    ).fetchall() if near else []
+    return [(texts[i], texts[j]) for i, j in found]
+
+
+def line_places(rows):
+    """(document, number, normalised line) of every line with five words or more."""
+    found = [(doc, k, normal(line)) for doc, text in rows for k, line in enumerate((text or "").split("\n"))]
+    return [x for x in found if len(x[2].split(" ")) >= 5]
+
+
+def without_duplicates(rows, group_of):
+    """Texts that keep the first line, by document and number, of each group of normalised lines."""
     seen, drop = set(), set()
-    for doc, k, n in sorted(places, key=lambda x: x[:2]):
-        group = of[prints[n]] if near(n, first[prints[n]]) else ("alone", n)
-        if group in seen:
+    for doc, k, n in sorted(line_places(rows), key=lambda x: x[:2]):
+        if group_of[n] in seen:
             drop.add((doc, k))
-        seen.add(group)
+        seen.add(group_of[n])
     return {d: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (d, k) not in drop) for d, t in rows}
 
 
+def brute_lines(rows):
+    """Texts without duplicate lines by the definition: similar lines, whatever their fingerprints are."""
+    nodes = {n for *_, n in line_places(rows)}
+    return without_duplicates(rows, roots(nodes, similar_pairs(nodes)))
+
+
+def check_lines(docs, rows, least_share):
+    """Links are right, nearly all are found, and removal follows from the groups."""
+    nodes = {n for *_, n in line_places(rows)}
+    pairs = similar_pairs(nodes)
+    truth = roots(nodes, pairs)
+    text_of = {(d, k): n for d, k, n in line_places(rows)}
+    found = {text_of[r.id, r.line]: r.group for r in lines.groups(docs).collect()}
+    assert set(found) == nodes
+    whole = {}
+    for n, group in found.items():
+        assert whole.setdefault(group, truth[n]) == truth[n]
+    together = sum(found[a] == found[b] for a, b in pairs)
+    assert len(pairs) > 30 and together >= least_share * len(pairs), (together, len(pairs))
+    got = {r.doc_id: r.text for r in lines.remove_duplicate_lines(docs).collect()}
+    assert got == without_duplicates(rows, found)
+    return together, len(pairs)
+
+
 def line_corpus(seed):
     dice = random.Random(seed)
-    vocabulary = [f"wo{i}rd" for i in range(200)]
+    vocabulary = ["".join(dice.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(dice.randint(2, 9))) for _ in range(200)]
     base = [[dice.choice(vocabulary) for _ in range(dice.randint(3, 60))] for _ in range(15)]
     base.append([dice.choice(vocabulary) for _ in range(200)])
     rows = []
@@ -244,15 +270,70 @@ def line_corpus(seed):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_lines_against_brute_force(docs_of, seed):
     rows = line_corpus(seed)
-    got = {r.doc_id: r.text for r in lines.remove_duplicate_lines(docs_of(rows)).collect()}
-    assert got == brute_lines(rows)
+    check_lines(docs_of(rows), rows, 0.97)
 
 
-def test_lines_of_the_small_table(spark):
+def test_lines_of_a_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    rows = [tuple(r) for r in docs.collect()]
-    got = {r.doc_id: r.text for r in lines.remove_duplicate_lines(docs).collect()}
-    assert got == brute_lines(rows)
+    check_lines(docs, [tuple(r) for r in docs.collect()], 0.97)
+
+
+def test_compared_lines_grow_with_the_lines(spark):
+    """Rows of blocks that lines share, for each line: no larger for ten times the lines."""
+    share = []
+    for folder in ("sf0.001", "sf0.01"):
+        docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+        texts = lines._lines(docs, "doc_id", "text", 5).groupBy("node").agg(F.first("normal").alias("normal"))
+        keys = lines.block_keys(texts)
+        n, (rows, largest) = texts.count(), keys.groupBy("key").count().where("count > 1").agg(F.sum("count"), F.max("count")).first()
+        assert largest <= 16
+        share.append(rows / n)
+    assert share[1] < 1.5 * share[0] + 0.5
+
+
+def test_many_lines_that_share_blocks_are_not_all_compared(spark, docs_of):
+    """Lines of one long common passage and different ends: similar to none, but alike in many blocks."""
+    dice = random.Random(9)
+    word = lambda: "".join(dice.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    passage = [word() for _ in range(60)]
+    rows = [(i, " ".join(passage + [word() for _ in range(40)])) for i in range(400)]
+    plain = lines._lines(docs_of(rows), "doc_id", "text", 5)
+    keys = lines.block_keys(plain.groupBy("node").agg(F.first("normal").alias("normal")))
+    rest = lines._rest(keys.withColumn("component", F.col("node"))).count()
+    assert rest < 0.2 * 400 * 399 / 2
+    got = {r.doc_id: r.text for r in lines.remove_duplicate_lines(docs_of(rows)).collect()}
+    assert got == dict(rows)
+
+
+def test_plans_of_lines_compile(spark, docs_of):
+    """No plan is too large for the compiler."""
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    try:
+        assert lines.remove_duplicate_lines(docs_of(line_corpus(3))).count() == 65
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+        spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
+CLASHES = ["_id", "_mark", "_lines", "id", "mark", "line", "node", "normal", "first", "key", "_ledger", "lines", "n_removed_lines"]
+
+
+def test_clashing_names_are_kept(spark):
+    rows = [(1, "a line with some more words in it\nnext", *CLASHES), (2, "a line with some more words in it", *CLASHES)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in CLASHES))
+    cleaned = lines.remove_duplicate_lines(docs, count="n_gone")
+    assert cleaned.columns == [*docs.columns, "n_gone"]
+    assert {r.doc_id: (r.text, r.n_gone, r.n_removed_lines) for r in cleaned.collect()} == {
+        1: (rows[0][1], 0, "n_removed_lines"), 2: ("", 1, "n_removed_lines")
+    }
+    assert lines.remove_duplicate_lines(docs).columns == docs.columns
+    kept = jaccard.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and kept.count() == 1  # four of five shingles are common
+    items = spark.createDataFrame([(1, "a line with some more words in it")], "item_id long, text string")
+    leaked = contamination.with_leaks(docs, items)
+    assert set(docs.columns) <= set(leaked.columns) and leaked.count() == 2
+    assert contamination.clean(docs, items).columns == docs.columns
 
 
 def test_line_edges(docs_of):

@@ -9,7 +9,7 @@ import corpus_pipeline
 from candlewick.llm import bpe, quality
 
 from .conftest import SMALL
-from .test_duplicates import brute_groups, brute_lines, words
+from .test_duplicates import brute_groups, brute_lines, words  # noqa: F401
 
 
 def test_rows_of_the_pipeline(spark):
@@ -40,3 +40,19 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs, SMALL).columns == docs.columns
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_stages_keep_columns_of_any_name_and_odd_rows(spark):
+    names = ["_id", "_mark", "_ledger", "_lines", "_removed", "_leaked", "row", "mark", "n_removed_lines"]
+    text = " ".join(f"plainword{i} and others" for i in range(30))
+    rows = [(i, t, "en", "web", len(t or "")) for i, t in [(1, text), (1, text), (None, text + " end"), (3, None), (4, "")]]
+    docs = spark.createDataFrame(
+        [(*r, *names) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    )
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SMALL)
+        assert kept.columns == docs.columns, name
+        found = kept.select("doc_id", *names).collect()
+        assert all(tuple(r)[1:] == tuple(names) for r in found), name
+        ids = sorted(r.doc_id or 0 for r in found)
+        assert ids in ([0, 1, 1], [0, 1, 1, 3, 4], [0, 3, 4], [1, 1, 3, 4]), (name, ids)
