@@ -2,6 +2,10 @@
 
 Each stage takes all that the stage before kept. Stages are written as Parquet to the shared folder and
 read again, so a lost executor costs a stage's tasks, never the stages before it.
+
+Every stage keeps rows with a null id and all columns, whatever their names; an empty table stays empty. Rows
+that repeat id and text are one document: they are kept, changed or dropped together. Null and empty texts
+fail the quality rules, so they go in the first stage; given to a later stage they stay.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import bpe, contamination, jaccard, lines, quality
+from candlewick.llm.graph import _unused
 from candlewick.llm.registry import reachable_by_workers, table
 from candlewick.session import scratch_path
 
@@ -28,13 +33,15 @@ RANKS = "byte_bpe_50k.tiktoken"
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the policy rejects go."""
     reachable_by_workers(spark)
-    return quality.apply_policy(quality.with_ledger(docs, ledger="_ledger"), POLICY, "_ledger.failed").drop("_ledger")
+    (ledger,) = _unused(docs.columns, "_ledger")
+    return quality.apply_policy(quality.with_ledger(docs, ledger=ledger), POLICY, f"{ledger}.failed").drop(ledger)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of fuzzy duplicate lines one stays; documents of nothing but removed lines go."""
-    cleaned = lines.remove_duplicate_lines(docs)
-    left = (F.col("n_removed_lines") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    (removed,) = _unused(docs.columns, "_removed")
+    cleaned = lines.remove_duplicate_lines(docs, count=removed)
+    left = (F.col(removed) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return cleaned.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
