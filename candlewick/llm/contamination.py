@@ -60,7 +60,7 @@ _NUMBER = re.compile(r"[$€£]?[+-]?[0-9][0-9.,:/]*(%|[a-z]{1,3})?")
 _SENTENCE_END = re.compile(r"[.!?:][\"')\]]*$")
 
 #: Distinct words whose kinds a worker keeps (speed only).
-CACHED_WORDS = 300_000
+CACHED_WORDS = 180_000
 
 _IS_NUMBER, _IS_UNIT, _IS_CAPITAL, _ENDS, _EMPTY = 1, 2, 4, 8, 16
 

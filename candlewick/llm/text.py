@@ -13,7 +13,7 @@ import xxhash
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Distinct words whose hashes a worker keeps; beyond it the cache starts anew (speed only).
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 #: Text that is hashed at once.
 PIECE_BYTES = 4_000_000
