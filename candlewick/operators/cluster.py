@@ -13,7 +13,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators.dedup import dedup_newest
@@ -161,6 +161,25 @@ def audit_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
     return rows.select("cluster", "n", "n_misplaced", off.alias("off_mean"), "cost")
 
 
+def nearest_centre(model: PipelineModel) -> Column:
+    """The number of the centre nearest to a row, from the model's numbers alone: what its prediction must be.
+
+    Null where an input is missing."""
+    scaler, centers = model.stages[1], model.stages[2].clusterCenters()
+    axes = []
+    for i, c in enumerate(model.stages[0].getInputCols()):
+        value = F.col(c).cast("double")
+        value = value - F.lit(float(scaler.mean[i])) if scaler.getWithMean() else value
+        spread = float(scaler.std[i])
+        axes.append(value * F.lit(1 / spread if spread else 0.0) if scaler.getWithStd() else value)
+
+    def distance(center: Sequence[float]) -> Column:
+        return reduce(operator.add, [(x - F.lit(float(at))) * (x - F.lit(float(at))) for x, at in zip(axes, center, strict=True)])
+
+    distances = F.array(*[distance(c) for c in centers])
+    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+
+
 def predict_into(df: DataFrame, model: PipelineModel, target: str = "Cluster") -> DataFrame:
     """Adds the cluster of every complete row; rows with a missing feature stay, with null.
 

@@ -12,6 +12,7 @@ from candlewick.plans import fixtures as fx
 from candlewick.plans.fixtures import TARGET, features_sql, with_tables
 from candlewick.plans.registry import query, rounded
 from candlewick.plans.streams import ONCE, _drain, _payload, _stream
+from candlewick.plans.windows import etl_sql
 from candlewick.schemas import CLUSTER_FEATURES, ETL_CLUSTER_FEATURES
 from candlewick.session import scratch_path
 from candlewick.sources.files import latest_files
@@ -49,7 +50,11 @@ def kmeans_train(spark, sf):
     return _audit(cluster.train_clusters(features), features)
 
 
-@query("kmeans_train_etl")
+_ETL_COMPLETE = " AND ".join(f'"{c}" IS NOT NULL' for c in ETL_CLUSTER_FEATURES)
+
+
+@query("kmeans_train_etl", with_tables("bars", body=_AUDIT_SQL.format(
+    rows=f"({etl_sql('bars')}) WHERE {_ETL_COMPLETE}")))
 def kmeans_train_etl(spark, sf):
     """The variant on the ETL features."""
     features = etl_features(fx.bars(spark, sf))
@@ -91,27 +96,32 @@ def kmeans_sweep(spark, sf):
 
 
 @query("prediction_backfill", with_tables("gappy", body=f"""
-    SELECT "Ticker", "Date", "Close", {_COMPLETE} AS scored FROM ({features_sql("gappy")})
+    SELECT "Ticker", "Date", "Close", {_COMPLETE} AS scored, CASE WHEN {_COMPLETE} THEN TRUE END AS nearest,
+           TRUE AS several FROM ({features_sql("gappy")})
     WHERE "Returns_1d" IS NOT NULL AND "Volatility_5d" IS NOT NULL"""))
 def prediction_backfill(spark, sf):
-    """Every row of a gappy table, scored where it is complete, by the model of the full one."""
+    """Every row of a gappy table, scored where it is complete, by the model of the full one: several clusters
+    are in use, and each row has that of its nearest centre, computed from the model's numbers."""
     model = cluster.train_clusters(ml_features(fx.bars(spark, sf)))
     features = ml_features(fx.gappy(spark, sf))
     scored = cluster.predict_into(features, model)
-    return scored.select("Ticker", "Date", "Close", F.col("Cluster").between(0, 3).alias("_in")).select(
-        "Ticker", "Date", "Close", F.coalesce("_in", F.lit(False)).alias("scored")
+    used = scored.agg(F.count_distinct("Cluster").alias("n_clusters"))
+    return scored.select(
+        "Ticker", "Date", "Close", F.coalesce(F.col("Cluster").between(0, 3), F.lit(False)).alias("scored"),
+        (F.col("Cluster") == cluster.nearest_centre(model)).alias("nearest"), F.lit(used.first()[0] > 1).alias("several"),
     )
 
 
 @query("batch_score", with_tables("features", body=f"""
     SELECT "Ticker", "Date", "Close", round("RSI", 6) AS "RSI", {_COMPLETE} AS scored,
-           CASE WHEN {_COMPLETE} THEN CAST(0 AS DOUBLE) END AS off FROM features
+           CASE WHEN {_COMPLETE} THEN CAST(0 AS DOUBLE) END AS off, CASE WHEN {_COMPLETE} THEN TRUE END AS nearest FROM features
     WHERE "Returns_1d" IS NOT NULL AND "Volatility_5d" IS NOT NULL"""))
 def batch_score(spark, sf):
     """Newest model, newest feature runs, newest copy of each row, enriched and stored.
 
     Cluster numbers are the model's own, so the result shows what must hold for any of them: one row
-    per bar, scored where complete, ``off`` = how far Price_vs_Cluster is from its definition.
+    per bar, scored where complete, ``nearest`` whether its number is that of its nearest centre, ``off`` how
+    far mean and difference are from a group-by over what was stored.
     """
     store, folder = scratch_path(spark, "store"), scratch_path(spark, "feature-runs")
     features = ml_features(fx.bars(spark, sf))
@@ -126,9 +136,13 @@ def batch_score(spark, sf):
     newest = latest_files(spark, folder, 5, by="run")
     scored = cluster.score_batch(newest, loaded, recency="_source_modified", order=order)
     write_features(scored.drop("_source_file", "_source_modified"), f"{store}/predictions")
-    off = F.col("Price_vs_Cluster") - (F.col("Close") - F.col("Cluster_Avg_Close"))
-    return rounded(spark.read.parquet(f"{store}/predictions").select(
-        "Ticker", "Date", "Close", "RSI", F.col("Cluster").isNotNull().alias("scored"), F.abs(off).alias("off")
+    stored = spark.read.parquet(f"{store}/predictions")
+    means = stored.groupBy("Cluster").agg(F.avg("Close").alias("mean"))
+    off = F.abs(F.col("Cluster_Avg_Close") - F.col("mean")) + F.abs(F.col("Price_vs_Cluster") - (F.col("Close") - F.col("mean")))
+    number = F.get(F.array(*map(F.lit, order)), cluster.nearest_centre(loaded))
+    return rounded(stored.join(means, "Cluster", "left").select(
+        "Ticker", "Date", "Close", "RSI", F.col("Cluster").isNotNull().alias("scored"), off.alias("off"),
+        (F.col("Cluster") == number).alias("nearest"),
     ))
 
 
@@ -169,16 +183,22 @@ def run_table(spark, sf):
     )
 
 
-@query("index_analysis", with_tables("clusters", body="""
-    SELECT "Ticker", arg_max("Close", "Date") AS latest_close,
-           arg_max("Cluster", CASE WHEN "Cluster" IS NOT NULL THEN "Date" END) AS latest_cluster,
+_HIDDEN = """"Ticker" = '2-HIGH' AND "Date" > DATE '1998-06-01'"""
+
+
+@query("index_analysis", with_tables("clusters", body=f"""
+    SELECT "Ticker", arg_max("Close", "Date") AS latest_close, arg_max_null("Cluster", "Date") AS latest_cluster,
            CAST(count(*) FILTER ("Cluster" = 0) AS BIGINT) AS n0, CAST(count(*) FILTER ("Cluster" = 1) AS BIGINT) AS n1,
            CAST(count(*) FILTER ("Cluster" = 2) AS BIGINT) AS n2, CAST(count(*) FILTER ("Cluster" = 3) AS BIGINT) AS n3,
            max("Close") FILTER (rn = 5) AS fifth_last, max("Close") FILTER (rn = 2) AS previous
-    FROM (SELECT *, row_number() OVER (PARTITION BY "Ticker" ORDER BY "Date" DESC) AS rn FROM clusters)
+    FROM (SELECT * REPLACE (CASE WHEN NOT ({_HIDDEN}) THEN "Cluster" END AS "Cluster"),
+                 row_number() OVER (PARTITION BY "Ticker" ORDER BY "Date" DESC) AS rn FROM clusters)
     GROUP BY 1"""))
 def index_analysis(spark, sf):
-    found = cluster.series_analysis(fx.clusters(spark, sf))
+    """One series has no cluster in its newest rows."""
+    hidden = (F.col("Ticker") == "2-HIGH") & (F.col("Date") > F.lit("1998-06-01").cast("date"))
+    rows = fx.clusters(spark, sf).withColumn("Cluster", F.when(~hidden, F.col("Cluster")))
+    found = cluster.series_analysis(rows)
     counted = [F.coalesce(F.col("distribution")[i], F.lit(0)).alias(f"n{i}") for i in range(4)]
     return found.select(
         "Ticker", "latest_close", "latest_cluster", *counted,
@@ -214,6 +234,22 @@ def lag_regression_forecast(spark, sf):
     )
 
 
+@query("lag_regression_one", with_tables("market", body="""
+    , pairs AS (
+        SELECT x, y, row_number() OVER (ORDER BY "Date") <= floor(0.8 * count(*) OVER ()) AS train
+        FROM (SELECT "Date", "Close" AS y, lag("Close") OVER (ORDER BY "Date") AS x FROM market) WHERE x IS NOT NULL),
+    fit AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM pairs WHERE train)
+    SELECT CAST(1 AS INTEGER) AS seq_len, round(a, 6) AS coefficient, round(b, 3) AS intercept,
+           (SELECT round(avg((a * x + b - y) * (a * x + b - y)) / 1000000, 3) FROM pairs WHERE NOT train) AS val_loss,
+           (SELECT round(avg(abs(a * x + b - y)), 3) FROM pairs WHERE NOT train) AS val_mae FROM fit"""))
+def lag_regression_one(spark, sf):
+    """The lag model with one lag and no penalty, which SQL can fit as well; the loss in millions."""
+    model = forecast.train_forecaster(fx.market(spark, sf), n=1, ridge=0.0)
+    row = (1, model.coefficients[0], model.intercept, model.metrics["val_loss"] / 1e6, model.metrics["val_mae"])
+    found = spark.createDataFrame([row], "seq_len int, coefficient double, intercept double, val_loss double, val_mae double")
+    return found.select("seq_len", F.round("coefficient", 6).alias("coefficient"), *[F.round(c, 3).alias(c) for c in ("intercept", "val_loss", "val_mae")])
+
+
 _STEP = f"0.1 * h[-60] + 0.1 * h[-3] + 0.2 * h[-2] + 0.5 * h[-1] + {INTERCEPT}"
 _FORECAST = f"""
     recent AS (
@@ -255,11 +291,12 @@ def first_hit(spark, sf):
 
 @query("stream_predict", with_tables("ticks", body="""
     SELECT ticker, CAST(count(*) AS BIGINT) AS n_scored, CAST(count(*) AS BIGINT) AS n_sent,
-           CAST(0 AS BIGINT) AS n_mislabeled FROM ticks GROUP BY 1"""))
+           CAST(0 AS BIGINT) AS n_mislabeled, CAST(0 AS BIGINT) AS n_misplaced FROM ticks GROUP BY 1"""))
 def stream_predict(spark, sf):
     """Ticks arrive on a stream, are scored, and go to a JSON table and to a topic payload folder.
 
-    Per ticker: rows stored, rows sent, and rows whose labels do not fit their cluster.
+    Per ticker: rows stored, rows sent, rows whose labels do not fit their cluster, and rows whose cluster is
+    not that of the nearest centre of the tick's features.
     """
     features = ml_features(fx.bars(spark, sf))
     model = cluster.train_clusters(features)
@@ -275,11 +312,15 @@ def stream_predict(spark, sf):
     )
     _drain(started)
     sent = spark.read.parquet(topic).groupBy(F.col("key").alias("ticker")).agg(F.count(F.lit(1)).alias("n_sent"))
-    stored = spark.read.schema("ticker string, cluster int, risk_level string, market_sentiment string").json(out)
+    layout = "ticker string, open double, high double, low double, close double, volume long, cluster int"
+    stored = spark.read.schema(f"{layout}, risk_level string, market_sentiment string").json(out)
+    stored = tk.tick_features(stored)
+    number = F.get(F.array(*map(F.lit, order)), cluster.nearest_centre(model))
     c = F.col("cluster")
     risk = F.when(c == 3, "high").when(c == 2, "medium").when(c.isin(0, 1), "low")
     fits = (F.col("risk_level") == risk) & ((F.col("market_sentiment") == "bullish") == (c <= 1))
     scored = stored.groupBy("ticker").agg(
-        F.count(F.lit(1)).alias("n_scored"), F.count_if(~F.coalesce(fits, F.lit(False))).alias("n_mislabeled")
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(~F.coalesce(fits, F.lit(False))).alias("n_mislabeled"),
+        F.count_if(~F.coalesce(c == number, F.lit(False))).alias("n_misplaced"),
     )
     return scored.join(sent, "ticker")

@@ -74,9 +74,16 @@ def scan_json_docs(spark, sf):
     return files.read_docs(spark, path, BAR, multi_line=False)
 
 
-@query("file_inventory")
+@query("file_inventory", """
+    SELECT 'event_type=' || event_type AS prefix, CAST(1 AS BIGINT) AS n_files, CAST(sum(strlen(props) + 1) AS BIGINT) AS size_bytes,
+           round(sum(strlen(props) + 1) / 1024.0, 2) AS size_kb
+    FROM events GROUP BY event_type""")
 def file_inventory(spark, sf):
-    return files.file_inventory(spark, sf)
+    """Files of known length: a text file per kind of event."""
+    path = scratch_path(spark, "inventory")
+    lines = fx.table(spark, sf, "events").select("event_type", "props")
+    lines.repartition("event_type").write.partitionBy("event_type").text(path)
+    return files.file_inventory(spark, path).select("prefix", "n_files", "size_bytes", "size_kb")
 
 
 @query("sink_parquet_overwrite", with_tables("bars", body="""

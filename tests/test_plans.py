@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from candlewick.operators import cluster, dedup, features, filters, joins, summary
+from candlewick.operators import cluster, dedup, features, filters, joins, quality, summary
 from candlewick.operators import series as sr
 from candlewick.plans import QUERIES
 from candlewick.plans import fixtures as fx
@@ -37,13 +37,41 @@ def test_features_shuffle_and_sort_once(stored, operator):
 
 
 def test_bucketed_bars_need_no_shuffle(spark, stored, tmp_path):
-    save_bucketed(stored, "bucketed_bars", str(tmp_path / "bucketed"), buckets=4)
+    layout = save_bucketed(stored, "bucketed_bars", str(tmp_path / "bucketed"), file_bytes=100_000)
     try:
+        assert layout.buckets > 1 and layout.hot is None
         df = features.ml_features(spark.table("bucketed_bars"))
         assert exchanges(plan(df)) == []
         assert df.count() == features.ml_features(stored).count()
+        assert save_bucketed(stored, "one_file", str(tmp_path / "one")).buckets == 1
     finally:
-        spark.sql("DROP TABLE bucketed_bars")
+        spark.sql("DROP TABLE IF EXISTS bucketed_bars")
+        spark.sql("DROP TABLE IF EXISTS one_file")
+
+
+def test_entities_larger_than_a_file_are_salted(spark, tmp_path):
+    """One entity holds a third of the rows; the others and their windows stay as they are."""
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"),
+        F.col("id").alias("n"), F.repeat(F.lit("x"), 20).alias("text"),
+    )
+    layout = save_bucketed(rows, "salted", str(tmp_path / "salted"), ("k",), file_bytes=40_000)
+    try:
+        assert layout.hot == "salted_hot" and layout.hot_buckets == 3
+        cold, hot = spark.table("salted"), spark.table("salted_hot")
+        assert {r["k"] for r in hot.select("k").distinct().collect()} == {"hot"}
+        assert sorted(map(tuple, cold.union(hot.drop("_salt")).collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+        parts = hot.groupBy("k", "_salt").agg(F.count(F.lit(1)).alias("n"))
+        assert exchanges(plan(parts)) == [] and exchanges(plan(cold.groupBy("k").count())) == []
+        assert sorted(r["n"] for r in parts.collect())[0] > 800 and parts.count() == 3
+    finally:
+        spark.sql("DROP TABLE IF EXISTS salted")
+        spark.sql("DROP TABLE IF EXISTS salted_hot")
+
+
+def test_exact_profile_repeats_no_rows(stored):
+    text = plan(quality.profile(stored))
+    assert "Expand" not in text and len(re.findall("FileScan", text)) == 2
 
 
 def test_training_rows_shuffle_once(stored):
