@@ -37,7 +37,7 @@ def test_features_shuffle_and_sort_once(stored, operator):
 
 
 def test_bucketed_bars_need_no_shuffle(spark, stored, tmp_path):
-    layout = save_bucketed(stored, "bucketed_bars", str(tmp_path / "bucketed"), file_bytes=100_000)
+    layout = save_bucketed(stored, "bucketed_bars", str(tmp_path / "bucketed"), file_bytes=20_000)
     try:
         assert layout.buckets > 1 and layout.hot is None
         df = features.ml_features(spark.table("bucketed_bars"))
