@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,7 @@ _NUMBER = re.compile(r"[$€£]?[+-]?[0-9][0-9.,:/]*(%|[a-z]{1,3})?")
 _SENTENCE_END = re.compile(r"[.!?:][\"')\]]*$")
 
 #: Distinct words whose kinds a worker keeps (speed only).
-CACHED_WORDS = 180_000
+CACHED_WORDS = 240_000
 
 _IS_NUMBER, _IS_UNIT, _IS_CAPITAL, _ENDS, _EMPTY = 1, 2, 4, 8, 16
 
@@ -92,6 +93,13 @@ class _Kinds(dict):
         self.kinds.append(kind)
         return number
 
+    def first(self, count: int) -> _Kinds:
+        """Only the words that were met first, which are the frequent ones."""
+        out = _Kinds()
+        out.update(islice(self.items(), count))
+        out.plain, out.hashes, out.kinds = self.plain[:count], self.hashes[:count], self.kinds[:count]
+        return out
+
 
 _KNOWN = _Kinds()
 
@@ -102,7 +110,7 @@ class Templates:
     def __init__(self, texts: list[str | None]) -> None:
         global _KNOWN
         if len(_KNOWN) > CACHED_WORDS:
-            _KNOWN = _Kinds()
+            _KNOWN = _KNOWN.first(CACHED_WORDS // 2)
         known = _KNOWN
         split = [split_words(text) for text in texts]
         counts = np.array([len(words) for words in split], np.int64)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ import xxhash
 #: Words, as all operators of this package take them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Distinct words whose hashes a worker keeps; beyond it the cache starts anew (speed only).
+#: Distinct words whose hashes a worker keeps; beyond it, the half met first stays (speed only).
 CACHED_WORDS = 150_000
 
 #: Text that is hashed at once.
@@ -25,7 +26,9 @@ _MASK = (1 << 64) - 1
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHED_WORDS:
+            first = dict(islice(self.items(), CACHED_WORDS // 2))
             self.clear()
+            self.update(first)
         found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found
 
