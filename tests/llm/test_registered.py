@@ -16,7 +16,7 @@ def test_same_rows_as_sql(spark, name):
     assert difference(df, con, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("number, table", [(n, "documents") for n in (1, 2, 3, 4, 6, 8, 9, 10)] + [(5, "pages")])
+@pytest.mark.parametrize("number, table", [(n, "documents") for n in (1, 2, 3, 4, 6, 8, 9, 10, 11, 12)] + [(5, "pages")])
 def test_one_row_for_each_input_row(spark, number, table):
     name = next(x for x in QUERIES if x.startswith(f"op{number}_"))
     ids = "page_id" if table == "pages" else "doc_id"
