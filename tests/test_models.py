@@ -1,13 +1,17 @@
 """Clustering and forecasting."""
 
 import datetime
+import functools
 import random
 
 import pytest
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators import cluster, forecast, runs
-from candlewick.operators.series import BARS
+from candlewick.operators.series import BARS, Series, Split, chrono_split, sequences
 
 START = datetime.date(2024, 1, 1)
 
@@ -98,6 +102,56 @@ def test_forecaster(spark):
     assert all(abs(r["predicted"]) < 1e6 for r in out)
 
 
+def by_widened_rows(df, n, ridge, series=BARS):
+    """The same model from rows that hold all their lags, by Spark ML's solver; with both errors."""
+    rows = chrono_split(sequences(df, "Close", n, series), 0.8, series)
+    rows = rows.select(array_to_vector("lags").alias("features"), F.col("label").cast("double"), "part")
+    fit = LinearRegression(regParam=ridge, elasticNetParam=0.0, solver="normal").fit(rows.filter("part = 'train'"))
+    error = F.col("prediction") - F.col("label")
+    test = fit.transform(rows.filter("part = 'test'")).agg(F.avg(error * error), F.avg(F.abs(error))).first()
+    return [*fit.coefficients, fit.intercept, *test]
+
+
+@pytest.mark.parametrize(("n", "ridge", "block_rows"), [(1, 0.0, 2), (5, 0.1, 1), (5, 0.1, 16), (20, 3.0, 50)])
+def test_forecaster_by_products_of_lags(spark, n, ridge, block_rows):
+    """Series of many lengths, around those where a block or the training part ends."""
+    frames = [walk(spark, k, f"t{k}")[1] for k in (1, 5, 6, 7, 16, 21, 22, 23, 48, 50, 51, 120)]
+    df = functools.reduce(DataFrame.unionByName, frames)
+    want = by_widened_rows(df, n, ridge)
+    for series in (BARS, Series(split=Split("week"))):
+        model = forecast.train_forecaster(df, n=n, ridge=ridge, block_rows=block_rows, series=series)
+        got = [*model.coefficients, model.intercept, model.metrics["val_loss"], model.metrics["val_mae"]]
+        assert got == pytest.approx(want, rel=1e-6, abs=1e-6)
+
+
+def test_forecaster_edges(spark):
+    _, df = walk(spark, 60)
+    layout = "Ticker string, Date date, Close double"
+    odd = [(None, START, 1.0), ("A", START - datetime.timedelta(days=1), None), ("A", START + datetime.timedelta(days=90), float("nan")),
+           ("B", START, float("inf"))]
+    plain = forecast.train_forecaster(df, n=4)
+    mixed = forecast.train_forecaster(df.unionByName(spark.createDataFrame(odd, layout)), n=4)
+    assert [*mixed.coefficients, mixed.intercept] == pytest.approx([*plain.coefficients, plain.intercept], rel=1e-9)
+    flat = spark.createDataFrame([("A", START + datetime.timedelta(days=i), 7.5) for i in range(30)], layout)
+    model = forecast.train_forecaster(flat, n=3)
+    assert model.coefficients == (0.0, 0.0, 0.0) and model.intercept == pytest.approx(7.5)
+    assert model.metrics == pytest.approx({"val_loss": 0.0, "val_mae": 0.0})
+    unlabelled = forecast.train_forecaster(df, n=4, fraction=1.0)
+    assert unlabelled.metrics == {"val_loss": None, "val_mae": None}
+    with pytest.raises(ValueError, match="no series"):
+        forecast.train_forecaster(df, n=60)
+    with pytest.raises(ValueError, match="no series"):
+        forecast.train_forecaster(df.limit(0), n=2)
+
+
+def test_forecaster_moves_single_values(spark):
+    """Stretches are stored after one exchange, and no row holds its lags."""
+    pieces = forecast._pieces(walk(spark, 100)[1], "Close", 60, 0.8, BARS, 128)
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert sum(len(r["v"]) for r in pieces.collect()) <= 100 + 60
+
+
 def test_recursion_matches_a_plain_loop(spark):
     rows, df = walk(spark, 61)
     weights, intercept = [0.25, 0.0, 0.25, 0.5], 3.0
