@@ -39,6 +39,34 @@ BLOCK_IDS = 1 << 18
 CACHED_PARTS = 800_000
 PIECE_BYTES = 4_000_000
 
+#: Parts that are encoded as one text (for speed only), and a space as byte-level vocabularies write it.
+JOINED_PARTS = 500
+SPACE = "\u0120"
+
+
+class _Parts(dict):
+    """Packed ids by part. A part not met yet gets an empty buffer, which ``Tokens`` fills later, and a place in ``new``.
+
+    Parts that begin or end with white space, and empty ones, have None: texts are not cut there.
+    """
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> bytearray | None:
+        found = None
+        if part and not part[0].isspace() and not part[-1].isspace():
+            found = bytearray()
+            self.new.append(part)
+        self[part] = found
+        return found
+
+    def shrink(self) -> None:
+        """Keeps the parts met first, which are the frequent ones."""
+        kept = dict(islice(self.items(), CACHED_PARTS // 2))
+        self.clear()
+        self.update(kept)
+
 
 class Tokens:
     """Ids of texts from the tokenizers library.
@@ -56,44 +84,55 @@ class Tokens:
         self._tokenizer.encode_special_tokens = True
         self._end = np.array([end_id], "<u4").tobytes()
         self._plain = self._is_plain(json.loads(source))
-        self._parts: dict[str, bytes | None] = {}
+        self._parts = _Parts()
+        words = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._spaced = np.zeros(max(words.values(), default=0) + 1, bool)
+        self._spaced[[i for word, i in words.items() if word.startswith(SPACE)]] = True
 
     @staticmethod
     def _is_plain(spec: dict) -> bool:
         cut = spec.get("pre_tokenizer") or {}
         own = (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex", True)) == ("ByteLevel", False, True)
+        special = all(added.get("special") for added in spec.get("added_tokens") or [])
         unchanged = not any(spec.get(part) for part in ("normalizer", "post_processor", "truncation", "padding"))
-        return own and unchanged and spec["model"].get("type") == "BPE" and not spec["model"].get("dropout")
+        return own and unchanged and special and spec["model"].get("type") == "BPE" and not spec["model"].get("dropout")
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn(self, parts: list[str], lead: str) -> None:
-        kept = []
-        for part in parts:
-            if not part or part[0].isspace() or part[-1].isspace():
-                self._parts[part] = None
-            else:
-                kept.append(part)
-        self._parts.update(zip(kept, self._whole([lead + x for x in kept]), strict=True))
+    def _learn(self) -> None:
+        """Fills in the ids of the new parts, each with the space before it.
+
+        Many parts make one text, so that the library is not called for each: a part has one space, in front,
+        so a token that begins with one begins a part.
+        """
+        known, new = self._parts, self._parts.new
+        groups = [new[i : i + JOINED_PARTS] for i in range(0, len(new), JOINED_PARTS)]
+        for group, packed in zip(groups, self._whole([" " + " ".join(group) for group in groups]), strict=True):
+            cuts = (np.flatnonzero(self._spaced[np.frombuffer(packed, "<u4")]) * 4).tolist()
+            for part, start, end in zip(group, cuts, [*cuts[1:], len(packed)], strict=True):
+                ids = packed[start:end]
+                known[part].extend(ids)
+                known[part] = ids
+        new.clear()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed little-endian ids, each with the end id behind it."""
         if not self._plain:
             return [x + self._end for x in self._whole(texts)]
+        if len(self._parts) > CACHED_PARTS:
+            self._parts.shrink()
         cut = [text.split(" ") for text in texts]
-        firsts = self._whole([parts[0] for parts in cut])
-        if len(self._parts) > CACHED_PARTS:  # the parts met first are the frequent ones
-            self._parts = dict(islice(self._parts.items(), CACHED_PARTS // 2))
-        later = [parts[1:] for parts in cut]
-        self._learn(list(set().union(*later).difference(self._parts)), " ")
-        known, out = self._parts.__getitem__, []
+        firsts, known = self._whole([parts[0] for parts in cut]), self._parts.__getitem__
+        later = [list(map(known, islice(parts, 1, None))) for parts in cut]
+        self._learn()
+        out = []
         for text, parts, first, others in zip(texts, cut, firsts, later, strict=True):
             try:
                 if others and (not parts[0] or parts[0][-1].isspace()):
                     raise TypeError
-                out.append(first + b"".join(map(known, others)) + self._end)
+                out.append(first + b"".join(others) + self._end)
             except TypeError:  # white space around a space
                 out.append(self._whole([text])[0] + self._end)
         return out
