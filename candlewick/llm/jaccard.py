@@ -30,10 +30,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.graph import _stored, _unused, components
+from candlewick.llm.graph import _dropped, _stored, _unused, components
 from candlewick.llm.text import gram_hashes, pieces, word_hashes
 
 WORDS = 5
@@ -102,8 +102,10 @@ def _entries(rows: DataFrame, packed: str) -> DataFrame:
 def _possible(rows: DataFrame, percent: int) -> DataFrame:
     """Step 1: rows (row, size, id, mark) that may link, with one document of each."""
     entries = _entries(rows.where("size > 0"), "first")
-    shared = entries.groupBy("column").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high")
-    counts = entries.join(shared.select("column"), "column").groupBy("row").agg(F.count(F.lit(1)).alias("shared"))
+    # A window, not a join with an aggregate: the entries are shuffled once.
+    column = Window.partitionBy("column")
+    ends = entries.withColumns({"low": F.min("row").over(column), "high": F.max("row").over(column)})
+    counts = ends.where("low <> high").groupBy("row").agg(F.count(F.lit(1)).alias("shared"))
     # Every document of a row has the same entries: the counts hold all of them.
     classes = rows.where("size > 0").groupBy("row", "size").agg(
         F.count(F.lit(1)).alias("documents"), F.min(F.struct("id", "mark")).alias("document")
@@ -135,9 +137,8 @@ def _blocks(sets: DataFrame, percent: int) -> DataFrame:
 
     ``at`` is the column's place in the set's order: columns that no other row has come first.
     """
-    entries = _entries(sets, "columns")
-    counted = entries.groupBy("column").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    shared = entries.join(counted, "column").groupBy("row").agg(F.collect_list(F.struct("rows", "column")).alias("shared"))
+    counted = _entries(sets, "columns").withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("column"))).where("rows > 1")
+    shared = counted.groupBy("row").agg(F.collect_list(F.struct("rows", "column")).alias("shared"))
     least = F.floor((F.col("size") * percent + 99) / 100)
     alone = F.col("size") - F.size("shared")
     fit = shared.join(sets.select("row", "size"), "row").where(F.size("shared") >= least)
@@ -196,8 +197,10 @@ def _connected(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         nonlocal links, groups
         new = _stored(pairs.distinct(), "pairs")
         if not new.isEmpty():
-            links = _stored(links.union(_links(new, sets, percent)), "links")
+            links, old = _stored(links.union(_links(new, sets, percent)), "links"), links
             groups = components(links)
+            _dropped(old)
+        _dropped(new)
 
     apart = F.col("component") != F.col("other")
     # The first leader has the fewest columns of its own: of near copies, the one closest to the source.
@@ -210,10 +213,12 @@ def _connected(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         leaders = now.groupBy("column").agg(F.min(leader).alias("leader")).select("column", "leader.*")
         met = now.join(leaders, "column").where(apart & _may_link(percent))
         more(met.select(F.col("row").alias("a"), "b"))
+        _dropped(now)
     now = labelled()
     other = now.select("column", *[F.col(x).alias(y) for x, y in (("row", "b"), ("size", "b_size"), ("at", "b_at"), ("component", "other"))])
     rest = now.withColumnRenamed("row", "a").join(other, "column").where((F.col("a") < F.col("b")) & apart & _may_link(percent))
     more(rest.select("a", "b"))
+    _dropped(now)
     return groups
 
 
@@ -228,10 +233,15 @@ def similar_groups(
         raise ValueError("percent is 50 to 100")
     rows = _stored(_rows(docs, key, text, n, percent), "rows")
     possible = _stored(_possible(rows, percent), "possible")
+    names = _stored(rows.select("id", "mark", "row", "size"), "names")
+    _dropped(rows)
     sets = _stored(_sets(docs, possible, key, text, n), "sets")
+    _dropped(possible)
     blocks = _stored(_blocks(sets, percent), "blocks")
     linked = _connected(blocks, sets, percent)
-    named = rows.select("id", "mark", "row", "size").join(linked.withColumnRenamed("node", "row"), "row", "left").select(
+    for stored in (sets, blocks):
+        _dropped(stored)
+    named = names.join(linked.withColumnRenamed("node", "row"), "row", "left").select(
         "id", "mark", "size", F.coalesce("component", "row").alias("component")
     )
     least = named.where("size > 0").groupBy("component").agg(F.min("id").alias("component_id"))
