@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.graph import _dropped, _stored
 from candlewick.llm.text import LongGrams, gram_hashes, pieces, split_words, word_hashes
-from candlewick.session import scratch_path
 
 WINDOW = 35
 
@@ -153,12 +153,12 @@ def matches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, key: st
     """Rows (id, mark, place, reference): runs of duplicate windows, each with another place of the same words."""
     if not anchor < window < 128 + anchor:
         raise ValueError("an anchor is shorter than a window, a window shorter than 128 words more")
-    spark, keyed = docs.sparkSession, _keyed(docs, key, text)
-    found = _anchors(keyed, window, anchor)
+    keyed = _keyed(docs, key, text)
+    # Stored, so that texts are hashed once for the counts and the join.
+    found = _stored(_anchors(keyed, window, anchor), "anchors")
     repeated = found.groupBy("anchor").count().where("count > 1").select("anchor")
-    path = scratch_path(spark, "anchors")
-    found.join(repeated, "anchor").write.parquet(path)
-    shared = spark.read.parquet(path)
+    shared = _stored(found.join(repeated, "anchor"), "shared")
+    _dropped(found)
 
     here = F.struct(F.col("id"), F.col("mark"), F.col("place"))
     contexts = shared.groupBy("anchor", "context").agg(
