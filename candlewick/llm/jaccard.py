@@ -117,7 +117,13 @@ def _possible(rows: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame, possible: DataFrame, key: str, text: str, n: int) -> DataFrame:
+def _chosen(docs: DataFrame, possible: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows (row, size, text): the documents of the rows that may link."""
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
+    return _keyed(docs, key, text).join(possible, same).select("row", "size", "text")
+
+
+def _sets(chosen: DataFrame, n: int) -> DataFrame:
     """Rows (row, size, columns): the whole sets of the rows that may link."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,9 +133,7 @@ def _sets(docs: DataFrame, possible: DataFrame, key: str, text: str, n: int) ->
                 [batch.column("row"), batch.column("size"), pa.array(packed, pa.binary())], ["row", "size", "columns"]
             )
 
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
-    joined = _keyed(docs, key, text).join(possible, same).select("row", "size", "text")
-    return joined.mapInArrow(make, "row bigint, size bigint, columns binary").dropDuplicates(["row"])
+    return chosen.mapInArrow(make, "row bigint, size bigint, columns binary").dropDuplicates(["row"])
 
 
 def _blocks(sets: DataFrame, percent: int) -> DataFrame:
@@ -235,8 +239,11 @@ def similar_groups(
     possible = _stored(_possible(rows, percent), "possible")
     names = _stored(rows.select("id", "mark", "row", "size"), "names")
     _dropped(rows)
-    sets = _stored(_sets(docs, possible, key, text, n), "sets")
+    # Stored first: the shuffle of all texts is over when that of the sets begins.
+    chosen = _stored(_chosen(docs, possible, key, text), "chosen")
     _dropped(possible)
+    sets = _stored(_sets(chosen, n), "sets")
+    _dropped(chosen)
     blocks = _stored(_blocks(sets, percent), "blocks")
     linked = _connected(blocks, sets, percent)
     for stored in (sets, blocks):

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from candlewick.llm import graph
+from candlewick.llm import graph, jaccard
 
 
 def shuffle_files(spark):
@@ -27,3 +27,17 @@ def test_settings_of_the_session_stay(spark):
     assert spark.conf.get(graph._CLEANUP) == before
     graph._dropped(stored)
     assert not os.path.exists(stored._stored_at.removeprefix("file:"))
+
+
+def test_sets_are_made_after_the_shuffle_of_texts(docs_of, monkeypatch):
+    """The whole texts are joined in a query of its own, so both shuffles are never on disk together."""
+    plans, stored = {}, jaccard._stored
+
+    def noted(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(jaccard, "_stored", noted)
+    found = jaccard.similar_groups(docs_of([(1, "a b c d e f"), (2, "a b c d e f"), (3, "g h i j k l"), (2, "a b c d e f")]))
+    assert {(r.id, r.component_id) for r in found.collect()} == {(1, 1), (2, 1), (3, 3)}
+    assert "Join" not in plans["sets"]
