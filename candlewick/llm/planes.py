@@ -18,6 +18,8 @@ blocks. Columns other than the two named are ignored.
 from __future__ import annotations
 
 import json
+import re
+import string
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import islice
@@ -39,15 +41,22 @@ BLOCK_IDS = 1 << 18
 CACHED_PARTS = 800_000
 PIECE_BYTES = 4_000_000
 
-#: Parts that are encoded as one text (for speed only), and a space as byte-level vocabularies write it.
+#: Parts that are encoded as one text (for speed only), and the sign before a part as byte-level vocabularies write it.
 JOINED_PARTS = 500
-SPACE = "\u0120"
+SIGNS = {" ": "\u0120", "\n": "\u010a"}
+
+#: A newline between two other characters than white space: it is a token, and a text can be cut on both sides of it.
+_LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
+
+#: What is cut off behind a letter or digit, if that is older than any difference between tables of Unicode.
+MARKS, _KNOWN = string.punctuation, "\u0250"
 
 
 class _Parts(dict):
     """Packed ids by part. A part not met yet gets an empty buffer, which ``Tokens`` fills later, and a place in ``new``.
 
-    Parts that begin or end with white space, and empty ones, have None: texts are not cut there.
+    A part has a space before it, or begins with its newline. Parts that begin or end with other white
+    space, and empty ones, have None: texts are not cut there.
     """
 
     def __init__(self) -> None:
@@ -55,7 +64,7 @@ class _Parts(dict):
 
     def __missing__(self, part: str) -> bytearray | None:
         found = None
-        if part and not part[0].isspace() and not part[-1].isspace():
+        if part and not part[-1].isspace() and not part[part[0] == "\n"].isspace():
             found = bytearray()
             self.new.append(part)
         self[part] = found
@@ -72,9 +81,10 @@ class Tokens:
     """Ids of texts from the tokenizers library.
 
     A plain byte-level BPE (no normalizer, no prefix space, no post-processing, no merged white space)
-    cuts a text at every single space between two other characters before merging. For such a
-    tokenizer, the parts between these spaces are encoded once and remembered. Any other tokenizer,
-    and any text with other white space around a space, is encoded as it is.
+    cuts a text at every single space or newline between two other characters before merging, and
+    between a letter or digit and the marks behind it. For such a tokenizer, the parts between these
+    spaces and newlines are encoded once and remembered, words apart from the marks behind them. Any
+    other tokenizer, and any text with other white space around a space, is encoded as it is.
     """
 
     def __init__(self, source: str, end_id: int) -> None:
@@ -86,8 +96,9 @@ class Tokens:
         self._plain = self._is_plain(json.loads(source))
         self._parts = _Parts()
         words = self._tokenizer.get_vocab(with_added_tokens=True)
-        self._spaced = np.zeros(max(words.values(), default=0) + 1, bool)
-        self._spaced[[i for word, i in words.items() if word.startswith(SPACE)]] = True
+        self._begins = {sign: np.zeros(max(words.values(), default=0) + 1, bool) for sign in SIGNS}
+        for sign, begins in self._begins.items():
+            begins[[i for word, i in words.items() if word.startswith(SIGNS[sign])]] = True
 
     @staticmethod
     def _is_plain(spec: dict) -> bool:
@@ -102,20 +113,41 @@ class Tokens:
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def _learn(self) -> None:
-        """Fills in the ids of the new parts, each with the space before it.
-
-        Many parts make one text, so that the library is not called for each: a part has one space, in front,
-        so a token that begins with one begins a part.
-        """
-        known, new = self._parts, self._parts.new
-        groups = [new[i : i + JOINED_PARTS] for i in range(0, len(new), JOINED_PARTS)]
-        for group, packed in zip(groups, self._whole([" " + " ".join(group) for group in groups]), strict=True):
-            cuts = (np.flatnonzero(self._spaced[np.frombuffer(packed, "<u4")]) * 4).tolist()
+        """Fills in the ids of the new parts, each with the sign before it."""
+        known, spaced, lines, several, marked, marks = self._parts, [], [], [], [], set()
+        for part in known.new:  # grows by the words that have only been met with marks
+            if part[-1] in MARKS:
+                word = part.rstrip(MARKS)
+                if word and word[-1] < _KNOWN and word[-1].isalnum():
+                    known[word]
+                    marked.append(part)
+                    marks.add(part[len(word) :])
+                    continue
+            (spaced if part[0] != "\n" else several if "\n" in part[1:] else lines).append(part)
+        self._fill(spaced, " ", " ")
+        self._fill(lines, "\n", "")
+        for part, ids in zip(several, self._whole(several), strict=True):
+            known[part].extend(ids)
+            known[part] = ids
+        marks = dict(zip(marks, self._whole(list(marks)), strict=True))
+        for part in marked:
+            word = part.rstrip(MARKS)
+            ids = known[word] + marks[part[len(word) :]]
+            known[part].extend(ids)
+            known[part] = ids
+        known.new.clear()
+
+    def _fill(self, parts: list[str], sign: str, before: str) -> None:
+        """Many parts make one text, so that the library is not called for each: a part has one sign, in front,
+        so a token that begins with one begins a part. ``before`` is the sign if parts lack it."""
+        known, begins = self._parts, self._begins[sign]
+        groups = [parts[i : i + JOINED_PARTS] for i in range(0, len(parts), JOINED_PARTS)]
+        for group, packed in zip(groups, self._whole([before + before.join(group) for group in groups]), strict=True):
+            cuts = (np.flatnonzero(begins[np.frombuffer(packed, "<u4")]) * 4).tolist()
             for part, start, end in zip(group, cuts, [*cuts[1:], len(packed)], strict=True):
                 ids = packed[start:end]
                 known[part].extend(ids)
                 known[part] = ids
-        new.clear()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed little-endian ids, each with the end id behind it."""
@@ -123,14 +155,14 @@ class Tokens:
             return [x + self._end for x in self._whole(texts)]
         if len(self._parts) > CACHED_PARTS:
             self._parts.shrink()
-        cut = [text.split(" ") for text in texts]
+        cut = [_LINE.sub(" \n", text).split(" ") for text in texts]
         firsts, known = self._whole([parts[0] for parts in cut]), self._parts.__getitem__
         later = [list(map(known, islice(parts, 1, None))) for parts in cut]
         self._learn()
         out = []
         for text, parts, first, others in zip(texts, cut, firsts, later, strict=True):
             try:
-                if others and (not parts[0] or parts[0][-1].isspace()):
+                if others and (not parts[0] or parts[0][-1].isspace() or " \n" in text):
                     raise TypeError
                 out.append(first + b"".join(others) + self._end)
             except TypeError:  # white space around a space
@@ -303,19 +335,16 @@ def _per_segment(
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decompress = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            key = batch.schema.field("segments").type.value_type.field("id").type
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                ids, at = _decoded(row, decompress), 0
-                values = []
-                for part in row["segments"]:
-                    values.append(value(ids[at : at + part["count"]]))
-                    at += part["count"]
+                row = {c: batch.column(c)[i].as_py() for c in ("shard", "block", "n_ids", "checksum", "planes")}
+                ids, segments = _decoded(row, decompress), batch.column("segments")[i].values
+                ends = np.cumsum(segments.field("count").to_numpy()).tolist()
+                values = [value(ids[start:end]) for start, end in zip([0, *ends], ends)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([x["id"] for x in row["segments"]], key),
-                        pa.array([row["shard"]] * len(values), pa.int32()),
-                        *[pa.array([x[c] for x in row["segments"]], pa.int64()) for c in ("document", "offset", "count")],
+                        segments.field("id"),
+                        pa.array(np.full(len(values), row["shard"], np.int32)),
+                        *[segments.field(c) for c in ("document", "offset", "count")],
                         pa.array(values, arrow),
                     ],
                     ["id", "shard", "document", "offset", "count", name],
@@ -352,13 +381,12 @@ def crc32_of_parts(parts: list[tuple[int, int]]) -> int:
 
 @F.arrow_udf(LongType())
 def _combined(parts: pa.Array) -> pa.Array:
-    return pa.array(
-        [
-            row[0]["crc"] if len(row) == 1 else crc32_of_parts([(x["crc"], 4 * x["count"]) for x in row])
-            for row in parts.to_pylist()
-        ],
-        pa.int64(),
-    )
+    crc = parts.flatten().field("crc").to_numpy()
+    sizes = parts.value_lengths().to_numpy()
+    out = crc[np.cumsum(sizes) - sizes]
+    for i in np.flatnonzero(sizes > 1).tolist():
+        out[i] = crc32_of_parts([(x["crc"], 4 * x["count"]) for x in parts[i].as_py()])
+    return pa.array(out, pa.int64())
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:

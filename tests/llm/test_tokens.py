@@ -88,6 +88,27 @@ def test_tokens_are_those_of_whole_texts():
     assert plain._plain and plain.encode(texts) == want
 
 
+def test_lines_and_marks_are_cut_where_the_library_cuts():
+    source = open(JSON).read()
+    plain, whole = planes.Tokens(source, 0), Tokenizer.from_str(source)
+    whole.encode_special_tokens = True
+    dice = random.Random(11)
+    signs = ["\n", "\n", "\n\n", "\r\n", " ", " ", " ", "\t", ".", ",", "'", "'s", "..", "<|endoftext|>", "²", "ǅ", "\u0378", "漢", "a", "word", "É"]
+    texts = ["".join(dice.choices(signs, k=dice.randint(0, 30))) for _ in range(20_000)]
+    texts += ["\n", "a\n", "\na b", "a\n\nb c", "a b\nc\n\nd e", "a \nb c", "a b\n c", "a b.\n.c d", "a b\n...\nc"]
+    assert plain.encode(texts) == [packed([*x.ids, 0]) for x in whole.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_meet_the_library_once():
+    tokens = planes.Tokens(open(JSON).read(), 0)
+    words, marks = [f"w{i}ord" for i in range(60)], [".", ",", "!!", "&&&", ".)", "?", ";", ":", '."', "..."]
+    text = "start " + " ".join(w + m for m in marks for w in words) + " " + "\n".join(w + m for w in words for m in marks)
+    seen, inner = [], tokens._whole
+    tokens._whole = lambda texts: seen.extend(texts) or inner(texts)
+    tokens.encode([text])
+    assert sum(map(len, seen)) < 3 * sum(map(len, words)) + 100
+
+
 def test_other_tokenizers_see_whole_texts():
     source = open(public_tokenizers.path("word_bpe_49k.json")).read()
     other, whole = planes.Tokens(source, 5), Tokenizer.from_str(source)
